@@ -45,7 +45,9 @@ def is_late(profile: str, lateness_sec: int = DEFAULT_LATENESS_SEC) -> Column:
     if check_profile(profile) == "local":
         late = F.col("event_ms") < F.col("max_event_ms") - allowed
     else:
-        late = F.col("event_ms") + allowed < F.col("max_event_ms") - allowed - 1
+        late = (F.col("event_ms") > 0) & (
+            F.col("event_ms") + allowed < F.col("max_event_ms") - allowed - 1
+        )
     return F.coalesce(late, F.lit(False))
 
 

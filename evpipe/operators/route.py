@@ -15,26 +15,41 @@ LATE = "late_event"
 
 
 def mark_duplicates(
-    events: DataFrame, key: str = "record_key", ok: str = "ok", hot_rows: int = HOT_ROWS
+    events: DataFrame,
+    key: str = "record_key",
+    ok: str = "ok",
+    hot_rows: int = HOT_ROWS,
+    seen: DataFrame | None = None,
 ) -> DataFrame:
     """Add `duplicate`: an earlier arrival with the same key was accepted.
 
     Only `ok` arrivals can be accepted, and the first of them is; so one minimum per key decides.
-    Keys that occur once need no lookup and do not enter the join.
+    Keys that occur once need no lookup and do not enter the join. `seen` holds keys (one row
+    each) that were accepted before these events arrived.
     """
     seq = F.col("arrival_seq")
     per_key = events.groupBy(key).agg(
         F.min(F.when(F.col(ok), seq)).alias("accepted_seq"), F.count(F.lit(1)).alias("n_rows")
     )
-    repeated = per_key.filter((F.col("n_rows") > 1) & F.col("accepted_seq").isNotNull())
-    hot = hot_keys(per_key, "n_rows", hot_rows)
+    decided = (F.col("n_rows") > 1) & F.col("accepted_seq").isNotNull()
+    if seen is not None:
+        before = seen.select(key, F.lit(True).alias("_seen"))
+        first = F.when(F.col("_seen"), F.lit(-(1 << 62)).cast("bigint")).otherwise(F.col("accepted_seq"))
+        per_key = per_key.join(before, key, "left").withColumn("accepted_seq", first)
+        decided = decided | F.col("_seen").isNotNull()
+    columns = [key, "accepted_seq", "n_rows"]
+    hot = hot_keys(per_key, "n_rows", hot_rows).select(*columns)
+    repeated = per_key.filter(decided).select(*columns)
     found = left_join_hot(events, repeated, key, hot, seq)
     after = F.coalesce(seq > F.col("accepted_seq"), F.lit(False))
     return found.withColumn("duplicate", after).drop("accepted_seq", "n_rows")
 
 
-def _flagged(events: DataFrame, profile: str, lateness_sec: int, hot_rows: int) -> DataFrame:
+def _flagged(events: DataFrame, profile: str, lateness_sec: int, hot_rows: int, **before):
     timed = running_max_event_time(events, profile)
+    if before.get("max_event_ms") is not None:
+        carried = F.lit(before["max_event_ms"]).cast("bigint")
+        timed = timed.withColumn("max_event_ms", F.greatest("max_event_ms", carried))
     flagged = timed.withColumns(
         {
             "valid": is_valid(),
@@ -47,7 +62,9 @@ def _flagged(events: DataFrame, profile: str, lateness_sec: int, hot_rows: int)
     # The local profile compares the ids of valid events as they are; a null id is one too.
     local_id = F.coalesce("event_id", F.lit("None"))
     keyed = flagged.withColumn("_id", F.when(F.col("valid"), local_id).otherwise(F.col("raw_hash")))
-    return mark_duplicates(keyed, "_id", "ok", hot_rows).drop("_id")
+    seen = before.get("seen")
+    known = None if seen is None else seen.select(F.col("event_id").alias("_id"))
+    return mark_duplicates(keyed, "_id", "ok", hot_rows, known).drop("_id")
 
 
 def route_stream(
@@ -74,9 +91,13 @@ def route_local(
     events: DataFrame,
     lateness_sec: int = DEFAULT_LATENESS_SEC,
     hot_rows: int = HOT_ROWS,
+    **before,
 ) -> DataFrame:
-    """Final `errors` and `reason`: invalid, else duplicate, else late, else accepted."""
-    flagged = _flagged(events, "local", lateness_sec, hot_rows)
+    """Final `errors` and `reason`: invalid, else duplicate, else late, else accepted.
+
+    `max_event_ms` and `seen` (a table of accepted `event_id`s) carry on an earlier run.
+    """
+    flagged = _flagged(events, "local", lateness_sec, hot_rows, **before)
     errors = (
         F.when(~F.col("valid"), F.col("errors"))
         .when(F.col("duplicate"), F.array(F.lit(DUPLICATE)))
