@@ -94,13 +94,18 @@ def payload_kind(raw: Column, text: Column) -> Column:
     )
 
 
+def quoted(text: Column) -> Column:
+    """Text as a JSON string."""
+    wrapped = F.to_json(F.array(text))
+    return F.substr(wrapped, F.lit(2), F.length(wrapped) - 2)
+
+
 def payload_json(kind: Column, text: Column) -> Column:
     """Payload as JSON text in its original key order, `{}` when there is no such key."""
-    as_string = F.regexp_extract(F.to_json(F.struct(text.alias("v"))), r"^\{\"v\":(.*)\}$", 1)
     return (
         F.when(kind.isNull(), F.lit("{}"))
         .when(kind == "null", F.lit("null"))
-        .when(kind == "string", as_string)
+        .when(kind == "string", quoted(text))
         .otherwise(text)
     )
 

@@ -52,14 +52,25 @@ def keep_by_fold(hits: DataFrame, key: str, cooldown_ms: int) -> DataFrame:
     )
 
 
+def _block_number(width_ms: int):
+    """floor(event_ms / width), in whole numbers also before 1970."""
+    return F.expr(f"(event_ms - pmod(event_ms, {width_ms}L)) div {width_ms}L")
+
+
 def _next_index(times: np.ndarray, exits: np.ndarray, cooldown_ms: int) -> np.ndarray:
     return np.searchsorted(times, exits + cooldown_ms, side="left")
 
 
+def _rows(key: str, group: tuple, **columns: np.ndarray) -> pd.DataFrame:
+    """Result rows of one (entity, block) group."""
+    n = len(next(iter(columns.values())))
+    return pd.DataFrame({key: pd.Series([group[0]] * n, dtype=object), **columns})
+
+
 def reduce_blocks(steps: DataFrame, key: str, cooldown_ms: int, width_ms: int) -> DataFrame:
     """Entries of wider blocks from the entries (`event_ms`, `exit_ms`) of narrower ones."""
 
-    def entries(pdf: pd.DataFrame) -> pd.DataFrame:
+    def entries(group: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("event_ms")
         times, exits = pdf["event_ms"].to_numpy(), pdf["exit_ms"].to_numpy()
         following = _next_index(times, exits, cooldown_ms)
@@ -67,13 +78,13 @@ def reduce_blocks(steps: DataFrame, key: str, cooldown_ms: int, width_ms: int) -
         for i in range(len(out) - 2, -1, -1):
             if following[i] < len(out):
                 out[i] = out[following[i]]
-        start = int(pdf["_block"].iloc[0]) * width_ms
+        start = int(group[1]) * width_ms
         enough = int(np.searchsorted(times, start + cooldown_ms, side="left")) + 1
-        return pdf.assign(exit_ms=out).iloc[:enough][[key, "event_ms", "exit_ms"]]
+        return _rows(key, group, event_ms=times[:enough], exit_ms=out[:enough])
 
     key_type = steps.schema[key].dataType.simpleString()
     return (
-        steps.withColumn("_block", F.floor(F.col("event_ms") / width_ms))
+        steps.withColumn("_block", _block_number(width_ms))
         .groupBy(key, "_block")
         .applyInPandas(entries, f"{key} {key_type}, event_ms bigint, exit_ms bigint")
     )
@@ -84,9 +95,9 @@ def open_blocks(
 ) -> DataFrame:
     """Times at which the narrower blocks inside each entered wider block are entered."""
 
-    def walk(_, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    def walk(group: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or right.empty:
-            return pd.DataFrame({key: [], "event_ms": []})
+            return _rows(key, group, event_ms=np.empty(0, "int64"))
         left = left.sort_values("event_ms")
         times, exits = left["event_ms"].to_numpy(), left["exit_ms"].to_numpy()
         following = _next_index(times, exits, cooldown_ms)
@@ -95,10 +106,10 @@ def open_blocks(
         while at < len(times):
             picked.append(at)
             at = int(following[at])
-        return left.iloc[picked][[key, "event_ms"]]
+        return _rows(key, group, event_ms=times[picked])
 
     key_type = steps.schema[key].dataType.simpleString()
-    block = F.floor(F.col("event_ms") / width_ms).alias("_block")
+    block = _block_number(width_ms).alias("_block")
     return (
         steps.select("*", block)
         .groupBy(key, "_block")

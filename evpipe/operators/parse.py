@@ -84,7 +84,7 @@ def parse_events(raw: DataFrame, profile: str = "stream") -> DataFrame:
     emit_ms = strict_millis(F.col("_emit_text"))
     event_id = F.when(F.col("malformed"), F.col("raw_hash")).otherwise(F.col("event_id"))
     is_signal = F.col("event_type").isin("vital", "lab")
-    return marked.withColumns({"event_id": event_id, **payload_values()}).select(
+    valued = marked.withColumns({"event_id": event_id, **payload_values()}).select(
         *keep,
         "malformed",
         "raw_hash",
@@ -96,7 +96,7 @@ def parse_events(raw: DataFrame, profile: str = "stream") -> DataFrame:
         "schema_version",
         "payload",
         "payload_kind",
-        payload_json(F.col("payload_kind"), F.col("_payload_text")).alias("payload_json"),
+        "_payload_text",
         to_ms(F.col("event_time")).alias("event_ms"),
         F.when(emit_ms > 0, emit_ms).alias("emit_ms"),
         record_key(F.col("event_id"), F.col("raw_hash")).alias("record_key"),
@@ -105,6 +105,20 @@ def parse_events(raw: DataFrame, profile: str = "stream") -> DataFrame:
         F.when(is_signal, F.col("label")).alias("signal"),
         F.when(is_signal, F.nanvl("number", F.lit(None))).alias("signal_value"),
     )
+    settled = settle(valued, [c for c in valued.columns if c not in keep])
+    text_of_payload = payload_json(F.col("payload_kind"), F.col("_payload_text"))
+    return settled.withColumn("payload_json", text_of_payload).drop("_payload_text")
+
+
+def settle(df: DataFrame, columns: list[str]) -> DataFrame:
+    """The same rows with `columns` passed through a generator.
+
+    The optimizer does not look through a generator. Without it, every later filter or join key
+    on a parsed column is spelled out in terms of the record text, which repeats the parsing in
+    the plan over and over until it no longer fits in memory.
+    """
+    others = [c for c in df.columns if c not in columns]
+    return df.select(*others, F.inline(F.array(F.struct(*columns)))).select(*df.columns)
 
 
 def payload_values() -> dict[str, Column]:

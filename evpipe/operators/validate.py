@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,7 +11,7 @@ from evpipe.functions.json import (
     truncated_int,
 )
 from evpipe.functions.text import contains_any_quoted, is_blank, is_uuid, valid_patient_id
-from evpipe.operators.parse import number_type
+from evpipe.operators.parse import number_type, settle
 from evpipe.schema import (
     ACUITY_RANGE,
     EVENT_TYPES,
@@ -48,11 +46,6 @@ def collect_errors(rules: list[tuple[str, Column]]) -> Column:
     return F.concat_ws("|", *[F.when(hit, F.lit(code)) for code, hit in rules])
 
 
-def joined(*parts: Column) -> Column:
-    """Join bar-separated lists, leaving out the empty ones."""
-    return F.concat_ws("|", *[F.when(part != "", part) for part in parts])
-
-
 def first_error(rules: list[tuple[str, Column]]) -> Column:
     """Code of the first rule that fires, NULL when none does."""
     chain = F.lit(None).cast("string")
@@ -81,7 +74,7 @@ def top_level_keys(raw: Column) -> Column:
     return F.coalesce(F.json_object_keys(raw), F.array().cast("array<string>"))
 
 
-def _stream_errors(payload_broken: Column | None = None) -> Column:
+def _stream_codes(payload_broken: Column | None = None) -> dict[str, Column]:
     kind, label = F.col("event_type"), F.col("label")
     number = F.nanvl("number", F.lit(None))
     id_blank = is_blank(F.col("event_id"))
@@ -127,9 +120,11 @@ def _stream_errors(payload_broken: Column | None = None) -> Column:
         of_payload = F.when(kind == event_type, collect_errors(rules)).otherwise(of_payload)
     if payload_broken is not None:
         of_payload = F.when(payload_broken, F.lit("bad_payload_json")).otherwise(of_payload)
-    return F.when(is_blank(F.col("raw")), F.lit("empty_record")).otherwise(
-        joined(collect_errors(envelope), of_payload)
-    )
+    return {
+        "_stop": F.when(is_blank(F.col("raw")), F.lit("empty_record")),
+        "_envelope": collect_errors(envelope),
+        "_payload": of_payload,
+    }
 
 
 def _local_payload_error() -> Column:
@@ -165,7 +160,7 @@ def _local_payload_error() -> Column:
     return code
 
 
-def _local_errors() -> Column:
+def _local_codes() -> dict[str, Column]:
     present = F.col("_keys")
     is_object = F.coalesce(F.col("payload_kind") == "object", F.lit(False))
     missing = missing_fields(present)
@@ -176,42 +171,41 @@ def _local_errors() -> Column:
         ("bad_patient_id", ~valid_patient_id(F.col("patient_id"))),
         ("bad_event_time", F.col("event_ms").isNull()),
     ]
-    of_payload = F.when(is_object, _local_payload_error())
-    return (
+    stop = (
         F.when(is_blank(F.col("raw")), F.lit("empty_record"))
         .when(F.col("malformed"), F.lit("bad_payload_json"))
-        .when(missing.isNotNull(), missing)
-        .otherwise(joined(collect_errors(rules), of_payload))
+        .otherwise(missing)
     )
+    of_payload = F.when(is_object, _local_payload_error())
+    return {
+        "_stop": stop,
+        "_envelope": collect_errors(rules),
+        "_payload": F.coalesce(of_payload, F.lit("")),
+    }
 
 
 def validate(events: DataFrame, profile: str = "stream") -> DataFrame:
-    """Add `errors` (ordered codes, empty when valid) to parsed events.
-
-    The observation counts rows and valid rows of every run. It also keeps later filters on
-    `errors` above this step: pushed below it, they would parse each record once per rule.
-    """
+    """Add `errors` (ordered codes, empty when valid) to parsed events."""
     check_profile(profile)
     if profile == "stream":
         # Payload text cut out of a parsed record is always JSON; only events rebuilt from
         # stored text (`payload_from_text`) can carry a broken one.
         broken = F.col("payload_broken") if "payload_broken" in events.columns else None
-        checked = events.withColumn("_codes", _stream_errors(broken))
+        coded = events.withColumns(_stream_codes(broken))
     else:
-        checked = events.withColumns(
+        coded = events.withColumns(
             {"_keys": top_level_keys(F.col("raw")), "_number_type": number_type()}
-        ).withColumn("_codes", _local_errors())
-    codes = F.col("_codes")
-    errors = F.when(codes == "", F.array().cast("array<string>")).otherwise(F.split(codes, "[|]"))
-    return (
-        checked.withColumn("errors", errors)
+        ).withColumns(_local_codes())
+    # A code in `_stop` stands alone: the record was not looked at any further.
+    parts = [F.when(F.col(c) != "", F.col(c)) for c in ("_envelope", "_payload")]
+    codes = F.coalesce("_stop", F.concat_ws("|", *parts))
+    clean = F.col("_stop").isNull() & (F.col("_envelope") == "") & (F.col("_payload") == "")
+    errors = F.when(clean, F.array().cast("array<string>")).otherwise(F.split(codes, "[|]"))
+    return settle(
+        coded.withColumn("errors", errors)
         .drop("payload", "payload_kind", "payload_broken", "label", "number", "malformed")
-        .drop("_keys", "_number_type", "_codes")
-        .observe(
-            f"validate_{profile}_{uuid.uuid4().hex[:8]}",
-            F.count(F.lit(1)).alias("rows"),
-            F.count_if(is_valid()).alias("valid_rows"),
-        )
+        .drop("_keys", "_number_type", "_stop", "_envelope", "_payload"),
+        ["errors"],
     )
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evpipe.functions.json import canonical_json
+from evpipe.functions.json import canonical_json, quoted
 from evpipe.operators.experiments import experiments_markdown
 from evpipe.schema import EXPERIMENT_COLUMNS
 
@@ -87,15 +87,16 @@ def _mode(reset: bool) -> str:
 
 def append_quarantine(quarantined: DataFrame, root: str, reset: bool = False) -> None:
     """Reason and record, as a table and as JSON lines with sorted keys."""
-    rows = quarantined.select(
-        "reason", canonical_json(F.col("raw")).alias("event_json"), "raw", "arrival_seq"
-    )
-    kept = F.coalesce("event_json", F.to_json(F.to_variant_object(F.struct("raw"))))
-    rows.select("reason", F.coalesce("event_json", "raw").alias("event_json"), "arrival_seq").write.mode(
-        _mode(reset)
-    ).parquet(f"{root}/quarantine")
+    # A text that is no JSON is kept as a JSON string.
+    event = F.coalesce(canonical_json(F.col("raw")), quoted(F.col("raw")))
+    rows = quarantined.select("reason", event.alias("event_json"), "arrival_seq")
+    rows.write.mode(_mode(reset)).parquet(f"{root}/quarantine")
     line = F.concat(
-        F.lit('{"event": '), kept, F.lit(', "reason": "'), F.col("reason"), F.lit('"}')
+        F.lit('{"event": '),
+        F.col("event_json"),
+        F.lit(', "reason": '),
+        quoted(F.col("reason")),
+        F.lit("}"),
     )
     rows.select(line.alias("value")).write.mode(_mode(reset)).text(f"{root}/quarantine_jsonl")
 

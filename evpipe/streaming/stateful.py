@@ -58,6 +58,15 @@ _ALERT_STATE = T.StructType(
 )
 
 
+def _together(batches) -> pd.DataFrame:
+    """The pieces of a group as one frame with plain Python texts."""
+    pdf = pd.concat(list(batches))
+    texts = [c for c in pdf.columns if isinstance(pdf[c].dtype, pd.StringDtype)]
+    pdf = pdf.astype({c: object for c in texts})
+    pdf[texts] = pdf[texts].where(pdf[texts].notna(), None)
+    return pdf
+
+
 def stream_route(raw: DataFrame, lateness_sec: int = DEFAULT_LATENESS_SEC) -> DataFrame:
     """Route a raw stream by the stream profile; nothing is dropped, late records included.
 
@@ -99,11 +108,11 @@ def stream_route(raw: DataFrame, lateness_sec: int = DEFAULT_LATENESS_SEC) -> Da
         if state.exists:
             # Accepted in an earlier batch: all records are duplicates, in whatever order.
             for pdf in batches:
-                yield decide(pdf, True, watermark)
+                yield decide(_together([pdf]), True, watermark)
             return
         # The order of arrival decides, so this key's records of one micro-batch come together;
         # the trigger limits how many that can be.
-        out = decide(pd.concat(list(batches)), False, watermark)
+        out = decide(_together(batches), False, watermark)
         if out["accepted"].any():
             state.update((True,))
         yield out
@@ -130,7 +139,7 @@ def stream_alerts(accepted: DataFrame, cooldown_ms: int = ALERT_COOLDOWN_MS) ->
     ) -> Iterator[pd.DataFrame]:
         before = state.get if state.exists else (None,) * (len(names) + 1)
         last_alert = before[-1]
-        rows = pd.concat(list(batches)).sort_values("arrival_seq", kind="stable")
+        rows = _together(batches).sort_values("arrival_seq", kind="stable")
         rows = rows.reset_index(drop=True)
         for name, carried in zip(names, before[:-1], strict=True):
             seen = rows["signal_value"].where(rows["signal"] == name).ffill()
