@@ -1030,7 +1030,7 @@ def percentile_nearest(spark, sf):
     )
 )
 def run_throughput(spark, sf):
-    return met.run_throughput(_parsed(spark, sf))
+    return met.run_throughput(raw_events(spark, sf))
 
 
 @query(
@@ -1045,7 +1045,7 @@ def run_throughput(spark, sf):
     )
 )
 def throughput_buckets(spark, sf):
-    return met.throughput_buckets(_parsed(spark, sf))
+    return met.throughput_buckets(raw_events(spark, sf))
 
 
 # --- runs and summaries ----------------------------------------------------------------------

@@ -29,3 +29,13 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = new_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows over all cores when the input has fewer splits than that.
+
+    Parsing is per record, so it is worth moving a small input once; a large one has splits
+    enough and is returned as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

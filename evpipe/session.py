@@ -27,6 +27,7 @@ def local_session(cpus: int = 8, checkpoint_dir: str | None = None, memory: str
         .appName("evpipe")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.driver.memory", memory)
     )

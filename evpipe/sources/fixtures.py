@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from evpipe.plans.staging import spread
+
 DIALECTS = {
     "spark": {
         "ms": "unix_micros(CAST(ts AS TIMESTAMP)) div 1000",
@@ -123,7 +125,8 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def event_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed events, one row per row of the `events` table."""
-    return _sql_over(event_view_sql("spark"), "events", _table(spark, sf_dir, "events"))
+    events = spread(_table(spark, sf_dir, "events"))
+    return _sql_over(event_view_sql("spark"), "events", events)
 
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
