@@ -51,15 +51,25 @@ from evpipe.plans.staging import new_path, stage
 from evpipe.schema import (
     ALL_SIGNALS,
     EVENT_TYPES,
+    EXPERIMENT_SCHEMA,
     LOCAL_VITAL_RANGES,
     PRODUCER_SCHEMA,
     RULE_SIGNALS,
     SUMMARY_REASONS,
+    SUMMARY_SCHEMA,
 )
 from evpipe.session import tune
 from evpipe.sinks import files, tables
 from evpipe.sources.fixtures import patients, raw_events
-from evpipe.sources.readers import read_patient_dim, read_raw_batch
+from evpipe.sources.readers import read_patient_dim, read_raw_batch, read_raw_stream
+from evpipe.sources.readers import read_run_summaries as read_summaries
+from evpipe.streaming.jobs import (
+    StreamJob,
+    start_alerts,
+    start_fanout,
+    start_local_routing,
+    start_routing,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 LATENESS_SEC = LATENESS_MS // 1000
@@ -1316,3 +1326,228 @@ def latest_quarantine_by_reason(spark, sf):
 def events_of_type(spark, sf):
     found = reads.events_of_type(_stored_by_type(spark, sf), "admission")
     return found.select("event_id", "patient_id", F.unix_millis("event_time").alias("event_time_ms"))
+
+
+# --- file and topic outputs ------------------------------------------------------------------
+
+
+def _full(spark, sf):
+    """Routed, enriched records with all columns that the outputs write."""
+    routed = _with_latency(_routed(spark, sf, extra=TEXT_COLUMNS))
+    return enrich(routed, patient_metadata(patients(spark, sf)), F.col("accepted"))
+
+
+def _topic(spark, label):
+    return {"format": "text", "path": new_path(spark, label)}
+
+
+@query(
+    over(
+        "routed_stream",
+        "SELECT raw AS value FROM routed_stream JOIN raw_events USING (arrival_seq) WHERE accepted",
+        "raw_events",
+    )
+)
+def write_valid(spark, sf):
+    target = _topic(spark, "valid")
+    files.write_valid(_full(spark, sf).filter("accepted"), target)
+    return spark.read.text(target["path"])
+
+
+@query(
+    over(
+        "routed_stream",
+        """SELECT event_id, array_to_string(errors, ',') AS errors, event_type,
+        coalesce(event_time_ms, -1) AS event_ms, processed_ms FROM routed_stream
+        WHERE NOT accepted""",
+    )
+)
+def write_quarantine(spark, sf):
+    target = _topic(spark, "quarantine")
+    files.write_quarantine(_full(spark, sf).filter("not accepted"), target)
+    fields = "struct<eventId:string,errors:array<string>,eventType:string," \
+        "eventEpochMillis:bigint,processedAtMillis:bigint>"
+    record = spark.read.text(target["path"]).select(F.from_json("value", fields).alias("r"))
+    return record.select(
+        F.col("r.eventId").alias("event_id"),
+        F.array_join("r.errors", ",").alias("errors"),
+        F.col("r.eventType").alias("event_type"),
+        F.col("r.eventEpochMillis").alias("event_ms"),
+        F.col("r.processedAtMillis").alias("processed_ms"),
+    )
+
+
+@query(
+    over(
+        "alerts_stream",
+        "SELECT patient_id, alert_type, event_time_ms AS alert_ms, event_id, wbc FROM alerts_stream",
+    )
+)
+def write_alerts(spark, sf):
+    target = _topic(spark, "alerts")
+    files.write_alerts(_alerts(spark, sf), alert_details(), target)
+    fields = "struct<patientId:string,alertType:string,alertTimeMillis:bigint,eventId:string," \
+        "detailsJson:string>"
+    alert = spark.read.text(target["path"]).select(F.from_json("value", fields).alias("a"))
+    return alert.select(
+        F.col("a.patientId").alias("patient_id"),
+        F.col("a.alertType").alias("alert_type"),
+        F.col("a.alertTimeMillis").alias("alert_ms"),
+        F.col("a.eventId").alias("event_id"),
+        F.get_json_object("a.detailsJson", "$.wbc").cast("double").alias("wbc"),
+    )
+
+
+@query(
+    over(
+        "routed_local",
+        """SELECT reason, count(*) AS table_rows, count(*) AS json_lines FROM routed_local
+        WHERE NOT accepted GROUP BY reason""",
+    )
+)
+def append_quarantine(spark, sf):
+    root = new_path(spark, "local")
+    files.append_quarantine(_rejected(spark, sf, "local", ("raw",)), root, reset=True)
+    line = F.from_json("value", "struct<event:string,reason:string>")
+    lines = spark.read.text(f"{root}/quarantine_jsonl").select(line["reason"].alias("reason"))
+    stored = spark.read.parquet(f"{root}/quarantine").select("reason", F.lit(1).alias("t"))
+    both = stored.unionByName(lines.select("reason", F.lit(0).alias("t")))
+    return both.groupBy("reason").agg(
+        F.count_if(F.col("t") == 1).alias("table_rows"),
+        F.count_if(F.col("t") == 0).alias("json_lines"),
+    )
+
+
+@query(over("alerts_local", "SELECT patient_id, event_time_ms AS alert_time_ms FROM alerts_local"))
+def append_alerts(spark, sf):
+    root = new_path(spark, "local")
+    files.append_alerts(_alerts(spark, sf, "local"), root, reset=True)
+    return spark.read.parquet(f"{root}/alerts").select("patient_id", "alert_time_ms")
+
+
+@query(
+    over(
+        "routed_local",
+        """SELECT count(*) AS total, count(*) FILTER (accepted) AS accepted,
+        (SELECT count(*) FROM alerts_local) AS alerts FROM routed_local""",
+        "alerts_local",
+    )
+)
+def save_run_metrics(spark, sf):
+    events = stage(_with_latency(_routed(spark, sf, "local")), "routed")
+    hot = hot_key_values(events, "patient_id")
+    alerts = alerts_with_cooldown(events.filter("accepted"), COOLDOWN_MS, hot)
+    root = new_path(spark, "local")
+    files.save_run_metrics(met.run_metrics(events, alerts), root)
+    stored = spark.read.schema("total bigint, accepted bigint, alerts bigint")
+    return stored.json(f"{root}/run_metrics")
+
+
+@query(
+    over(
+        "routed_stream",
+        f"""SELECT count(*) FILTER (accepted) AS valid,
+        count(*) FILTER (reason IN ({SUMMARY_REASONS_SQL})) AS quarantine,
+        (SELECT count(*) FROM alerts_stream) AS alerts FROM routed_stream""",
+        "alerts_stream",
+    )
+)
+def write_summary(spark, sf):
+    path = new_path(spark, "summary")
+    files.write_summary(_summary(spark, sf), path)
+    return spark.read.schema(SUMMARY_SCHEMA).json(path).select(
+        "totals.valid", "totals.quarantine", "totals.alerts"
+    )
+
+
+_RUNS = "SELECT run, sent AS events_sent, valid, quarantine FROM days"
+
+
+@query(over("days", _RUNS.replace("valid, quarantine", "CAST(valid AS BIGINT) AS valid, "
+                                  "CAST(quarantine AS BIGINT) AS quarantine")))
+def write_experiments(spark, sf):
+    root = new_path(spark, "experiments")
+    files.write_experiments(_experiments(spark, sf), root)
+    stored = spark.read.schema(EXPERIMENT_SCHEMA).option("header", True)
+    return stored.csv(f"{root}/experiments_csv").select("run", "events_sent", "valid", "quarantine")
+
+
+@query(over("days", "SELECT 'run=' || run AS run, sent AS events_sent FROM days"))
+def read_run_summaries(spark, sf):
+    path = new_path(spark, "summaries")
+    _day_summaries(spark, sf).write.partitionBy("run").json(path)
+    found = read_summaries(spark, path, "*/*.json")
+    return found.select("run", F.col("producer.sent").alias("events_sent"))
+
+
+# --- streams ---------------------------------------------------------------------------------
+
+
+def _stream_job(spark, sf):
+    """All events as one file drop, and a job that reads what is there and ends."""
+    root = new_path(spark, "stream")
+    raw_events(spark, sf).select("arrival_seq", "raw", "processed_ms").write.parquet(f"{root}/in")
+    job = StreamJob(
+        f"{root}/out", f"{root}/checkpoints", LATENESS_SEC, COOLDOWN_MS, {"availableNow": True}
+    )
+    return job, read_raw_stream(spark, "parquet", {"path": f"{root}/in"})
+
+
+def _with_few_state_partitions(spark, work):
+    """State stores come one per shuffle partition; a small machine needs no more than cores."""
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    cores = spark.sparkContext.defaultParallelism
+    spark.conf.set(name, str(min(int(before), cores)))
+    try:
+        return work()
+    finally:
+        spark.conf.set(name, before)
+
+
+@query(over("routed_nolate", "SELECT arrival_seq, accepted, reason FROM routed_nolate"))
+def stream_route(spark, sf):
+    job, raw = _stream_job(spark, sf)
+    _with_few_state_partitions(spark, lambda: start_routing(raw, job).awaitTermination())
+    return spark.read.parquet(job.routed_path).select("arrival_seq", "accepted", "reason")
+
+
+@query(
+    over(
+        "alerts_nolate",
+        "SELECT patient_id, event_time_ms AS alert_ms, alert_type FROM alerts_nolate",
+    )
+)
+def stream_alerts(spark, sf):
+    job, raw = _stream_job(spark, sf)
+
+    def work():
+        start_routing(raw, job).awaitTermination()
+        start_alerts(spark, job).awaitTermination()
+
+    _with_few_state_partitions(spark, work)
+    stored = tables.read_table(spark, job.root, tables.ALERTS_BY_PATIENT)
+    return stored.select(
+        "patient_id", F.unix_millis("alert_time").alias("alert_ms"), "alert_type"
+    )
+
+
+@query(over("routed_nolate", "SELECT event_id, event_type FROM routed_nolate WHERE accepted"))
+def run_fanout(spark, sf):
+    job, raw = _stream_job(spark, sf)
+    dim = patient_metadata(patients(spark, sf))
+
+    def work():
+        start_routing(raw, job).awaitTermination()
+        start_fanout(spark, dim, job).awaitTermination()
+
+    _with_few_state_partitions(spark, work)
+    return tables.read_table(spark, job.root, tables.EVENTS_BY_ID).select("event_id", "event_type")
+
+
+@query(over("routed_local", "SELECT arrival_seq, accepted, reason FROM routed_local"))
+def stream_route_local(spark, sf):
+    job, raw = _stream_job(spark, sf)
+    _with_few_state_partitions(spark, lambda: start_local_routing(raw, job).awaitTermination())
+    routed = spark.read.parquet(f"{job.root}/local_routed")
+    return routed.select("arrival_seq", "accepted", "reason")

@@ -106,6 +106,14 @@ _VIEWS: dict[str, str] = {
           CASE WHEN len(errs) = 0 THEN 'accepted' ELSE errs[1] END AS reason
         FROM (SELECT *, CASE WHEN duplicate THEN list_append(errors, 'duplicate_event_id')
           WHEN valid AND late THEN ['late_event'] ELSE errors END AS errs FROM keyed_stream)""",
+    # One micro-batch of a stream: the watermark has not moved, so nothing is late.
+    "routed_nolate": """
+        SELECT * REPLACE (errs AS errors), len(errs) = 0 AS accepted,
+          CASE WHEN len(errs) = 0 THEN 'accepted' ELSE errs[1] END AS reason
+        FROM (SELECT *, CASE WHEN coalesce(arrival_seq > min(CASE WHEN len(errors) = 0
+            THEN arrival_seq END) OVER (PARTITION BY event_id), false)
+          THEN list_append(errors, 'duplicate_event_id') ELSE errors END AS errs
+        FROM checked_stream)""",
     "routed_local": """
         SELECT *, reason = 'accepted' AS accepted FROM (SELECT *, CASE
           WHEN NOT valid THEN array_to_string(errors, '|') WHEN duplicate THEN 'duplicate_event_id'
@@ -123,7 +131,7 @@ _VIEWS: dict[str, str] = {
             )
         )
         + f" FROM routed_{p} WHERE accepted"
-        for p in ("stream", "local")
+        for p in ("stream", "local", "nolate")
     },
     **{
         f"hits_{p}": f"""
@@ -133,7 +141,7 @@ _VIEWS: dict[str, str] = {
           row_number() OVER (PARTITION BY patient_id ORDER BY arrival_seq) AS i
         FROM state_{p} WHERE coalesce(heart_rate, 0) >= 110 AND coalesce(temperature_c, 0) >= 38
           AND (coalesce(wbc, 0) >= 12 OR coalesce(lactate, 0) >= 2.2)"""
-        for p in ("stream", "local")
+        for p in ("stream", "local", "nolate")
     },
     **{
         f"folded_{p}": f"""
@@ -143,13 +151,13 @@ _VIEWS: dict[str, str] = {
           CASE WHEN h.event_time_ms - f.last < {COOLDOWN_MS} THEN f.last ELSE h.event_time_ms END,
           h.event_time_ms - f.last >= {COOLDOWN_MS}
         FROM folded_{p} f JOIN hits_{p} h ON h.patient_id = f.patient_id AND h.i = f.i + 1"""
-        for p in ("stream", "local")
+        for p in ("stream", "local", "nolate")
     },
     **{
         f"alerts_{p}": f"""
         SELECT h.*, '{ALERT_TYPE}' AS alert_type FROM hits_{p} h JOIN folded_{p} f
           ON h.patient_id = f.patient_id AND h.i = f.i AND f.fired"""
-        for p in ("stream", "local")
+        for p in ("stream", "local", "nolate")
     },
     "stored": """
         SELECT event_id, patient_id, event_type, event_time_ms, source, payload,
@@ -174,7 +182,7 @@ _NEEDS = {
     "latencies": ["stored"],
     "days": ["routed_stream"],
 }
-for _p in ("stream", "local"):
+for _p in ("stream", "local", "nolate"):
     _NEEDS.update(
         {
             f"timed_{_p}": [f"checked_{_p}"],
@@ -188,6 +196,8 @@ for _p in ("stream", "local"):
         }
     )
 
+_NEEDS["routed_nolate"] = ["checked_stream"]
+
 SUMMARY_TYPES_SQL = ", ".join(f"'{t}'" for t in SUMMARY_EVENT_TYPES)
 SUMMARY_REASONS_SQL = ", ".join(f"'{r}'" for r in SUMMARY_REASONS)
 

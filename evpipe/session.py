@@ -9,6 +9,11 @@ RUNTIME_CONF = {
     # Above 8000 bytes of bytecode the JVM interprets a method for good. Wide rule projections
     # exceed that in one fused loop; below the limit Spark splits them into compiled methods.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # One flag per accepted id for good: that state belongs on disk, with small checkpoints.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }

@@ -85,13 +85,13 @@ def read_run_metrics(spark: SparkSession, path: str) -> DataFrame:
     return spark.createDataFrame([], PRODUCER_SCHEMA) if found is None else found
 
 
-def read_run_summaries(spark: SparkSession, folder: str) -> DataFrame:
-    """All `<run>/summary.json` documents under a folder, named by their directory."""
+def read_run_summaries(
+    spark: SparkSession, folder: str, pattern: str = "*/summary.json"
+) -> DataFrame:
+    """All run summary documents under a folder, each named by the directory that holds it."""
     run = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/[^/]+$", 1)
     found = (
-        spark.read.schema(SUMMARY_SCHEMA)
-        .option("multiLine", True)
-        .json(f"{folder}/*/summary.json")
+        spark.read.schema(SUMMARY_SCHEMA).option("multiLine", True).json(f"{folder}/{pattern}")
     )
     return found.select(F.url_decode(run).alias("run"), "*")
 
