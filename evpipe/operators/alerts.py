@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from typing import Literal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evpipe.functions.numeric import value_or_zero
 from evpipe.operators.cooldown import keep_by_blocks, keep_by_fold
 from evpipe.operators.prefix import last_values
-from evpipe.operators.skew import HOT_ROWS, hot_key_values, is_hot
+from evpipe.operators.skew import find_hot_patients, mark_hot
 from evpipe.plans.staging import stage
 from evpipe.schema import (
     ALERT_COOLDOWN_MS,
@@ -51,22 +53,21 @@ def alert_details() -> Column:
 def alerts_with_cooldown(
     accepted: DataFrame,
     cooldown_ms: int = ALERT_COOLDOWN_MS,
-    hot_patients: list[str] | None = None,
-    hot_rows: int = HOT_ROWS,
+    hot_patients: DataFrame | None | Literal["find"] = "find",
 ) -> DataFrame:
     """Alerts of accepted events, in arrival order per patient, at most one per cool-down.
 
-    Patients with at least `hot_rows` events (looked up unless given) are handled in bounded
-    pieces; nobody else has more hits than that.
+    Patients with very many events are handled in bounded pieces. They are looked up in
+    `accepted`, unless the caller has found them already (None: there are none).
     """
-    if hot_patients is None:
-        hot_patients = hot_key_values(accepted, "patient_id", hot_rows)
+    if isinstance(hot_patients, str):
+        hot_patients = find_hot_patients(accepted)
     columns = ["patient_id", "arrival_seq", "event_ms", "record_key", *RULE_SIGNALS]
-    if not hot_patients:
+    if hot_patients is None:
         hits = rule_hits(accepted).select(*columns)
         found = keep_by_fold(hits, "patient_id", cooldown_ms)
     else:
-        marked = is_hot(accepted, "patient_id", hot_patients, "_hot")
+        marked = mark_hot(accepted, hot_patients, "_hot")
         hits = stage(rule_hits(marked, "_hot").select(*columns, "_hot"), "hits")
         few = hits.filter(~F.col("_hot")).drop("_hot")
         many = hits.filter("_hot").drop("_hot")

@@ -26,7 +26,9 @@ from pyspark.sql.window import Window
 from evpipe.operators.prefix import running_max
 
 # Blocks of the first level span BLOCK_COOLDOWNS cool-downs, each further level as many blocks.
-BLOCK_COOLDOWNS = 64
+# Rising hits differ in their millisecond, so a block of 16 times 10 minutes holds at most
+# 9.6 million, however many hits the entity has.
+BLOCK_COOLDOWNS = 16
 
 
 def keep_by_fold(hits: DataFrame, key: str, cooldown_ms: int) -> DataFrame:

@@ -22,13 +22,13 @@ def enrich(
     events: DataFrame,
     dim: DataFrame | None,
     accepted: Column | None = None,
-    hot_patients: list[str] | None = None,
+    hot_patients: DataFrame | None = None,
 ) -> DataFrame:
     """Add `patient_metadata` JSON: `{}` without a match and for records not accepted.
 
     `dim` has one row per patient (`patient_id`, `metadata`). It is not hinted: Spark broadcasts
-    it when its size allows, otherwise it is a key join. Patients known to fill much of `events`
-    can be named; their entries are broadcast and their rows spread. Without a dimension the
+    it when its size allows, otherwise it is a key join. For patients known to fill much of
+    `events` the entries are broadcast and the rows spread. Without a dimension the
     failure marker is stored and the records still pass.
     """
     ok = F.lit(True) if accepted is None else accepted
@@ -36,8 +36,8 @@ def enrich(
         text = F.when(ok, F.lit(LOOKUP_FAILED_JSON)).otherwise(F.lit("{}"))
         return events.withColumn("patient_metadata", text)
     lookup = dim.select("patient_id", F.to_json("metadata").alias("_json"))
-    if hot_patients:
-        hot = lookup.filter(F.col("patient_id").isin(hot_patients))
+    if hot_patients is not None:
+        hot = lookup.join(F.broadcast(hot_patients), "patient_id", "left_semi")
         found = left_join_hot(events, lookup, "patient_id", hot, F.col("arrival_seq"))
     else:
         found = events.join(lookup, "patient_id", "left").select(*events.columns, "_json")

@@ -5,34 +5,42 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from evpipe.plans.staging import stage
+
 # A key with at least HOT_ROWS rows is hot. At most HOT_KEYS keys are treated so, the most
 # frequent first: of N rows no other key then has more than max(HOT_ROWS, N / HOT_KEYS).
 HOT_ROWS = 1_000_000
 HOT_KEYS = 10_000
+# The same for patients, whose cold histories are folded in one row each: their bound is tighter,
+# and a million short ids are still a broadcast of some 50 MB.
+HOT_PATIENT_ROWS = 100_000
+HOT_PATIENTS = 1_000_000
 SALTS = 1024
 
 
-def hot_keys(counts: DataFrame, n_rows: str, min_rows: int = HOT_ROWS) -> DataFrame:
-    """The hot rows of a per-key count table: never more than HOT_KEYS rows."""
-    return counts.filter(F.col(n_rows) >= min_rows).orderBy(F.desc(n_rows)).limit(HOT_KEYS)
+def hot_keys(
+    counts: DataFrame, n_rows: str, min_rows: int = HOT_ROWS, max_keys: int = HOT_KEYS
+) -> DataFrame:
+    """The hot rows of a per-key count table, never more than `max_keys`."""
+    return counts.filter(F.col(n_rows) >= min_rows).orderBy(F.desc(n_rows)).limit(max_keys)
+
 
+def find_hot_patients(events: DataFrame, min_rows: int = HOT_PATIENT_ROWS) -> DataFrame | None:
+    """Ids of the hot patients as a small staged table, None when there are none.
 
-def hot_key_values(df: DataFrame, key: str, min_rows: int = HOT_ROWS) -> list:
-    """Hot values of `key`, by one narrow counting pass; at most HOT_KEYS values."""
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter(F.col(key).isNotNull())
-    return [row[0] for row in hot_keys(counts, "n", min_rows).select(key).collect()]
+    One narrow counting pass; whether it finds any decides which plan is built.
+    """
+    counts = events.groupBy("patient_id").agg(F.count(F.lit(1)).alias("n"))
+    known = counts.filter(F.col("patient_id").isNotNull())
+    hot = stage(hot_keys(known, "n", min_rows, HOT_PATIENTS).select("patient_id"), "hot")
+    return None if hot.isEmpty() else hot
 
 
-def is_hot(df: DataFrame, key: str, values: list, out: str) -> DataFrame:
-    """Mark rows whose key is among at most HOT_KEYS collected values."""
-    if not values:
-        return df.withColumn(out, F.lit(False))
-    marks = df.sparkSession.createDataFrame(
-        [(v, True) for v in values], f"{key} {df.schema[key].dataType.simpleString()}, {out} boolean"
-    )
-    return df.join(F.broadcast(marks), key, "left").withColumn(
-        out, F.coalesce(F.col(out), F.lit(False))
-    )
+def mark_hot(events: DataFrame, hot_patients: DataFrame, out: str) -> DataFrame:
+    """Add the boolean column `out`; `hot_patients` has at most HOT_PATIENTS rows."""
+    marks = F.broadcast(hot_patients.select("patient_id", F.lit(True).alias("_mark")))
+    marked = events.join(marks, "patient_id", "left")
+    return marked.withColumn(out, F.coalesce("_mark", F.lit(False))).drop("_mark")
 
 
 def left_join_hot(
@@ -40,8 +48,8 @@ def left_join_hot(
 ) -> DataFrame:
     """`left` left-outer-join `right` (one row per key) when some keys fill much of `left`.
 
-    `hot` holds the rows of `right` for the hot keys, at most HOT_KEYS of them: they are
-    broadcast. The left rows they serve are then dealt over SALTS partitions by `spread`
+    `hot` holds the rows of `right` for the hot keys. Their number is limited (HOT_KEYS or
+    HOT_PATIENTS), so they are broadcast. The left rows they serve are then dealt over SALTS partitions by `spread`
     instead of meeting in one; all others are joined by key.
     """
     values = [c for c in right.columns if c != key]

@@ -12,7 +12,7 @@ from evpipe.operators.alerts import alerts_with_cooldown
 from evpipe.operators.enrich import enrich, patient_metadata
 from evpipe.operators.parse import parse_events
 from evpipe.operators.route import route
-from evpipe.operators.skew import hot_key_values
+from evpipe.operators.skew import find_hot_patients
 from evpipe.operators.validate import validate
 from evpipe.plans.staging import stage
 from evpipe.schema import ALERT_COOLDOWN_MS, DEFAULT_LATENESS_SEC
@@ -65,7 +65,7 @@ def run_batch(
     Routed events are staged as well, because the tables, the alerts and the counts all read them.
     """
     checked = checked_events(raw, profile, TEXT_COLUMNS)
-    hot = hot_key_values(checked, "patient_id")
+    hot = find_hot_patients(checked)
     routed = route(checked, profile, lateness_sec)
     metadata = None if dim is None else patient_metadata(dim)
     enriched = enrich(routed, metadata, F.col("accepted"), hot)

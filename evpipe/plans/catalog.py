@@ -25,7 +25,7 @@ from evpipe.operators.enrich import enrich, patient_metadata
 from evpipe.operators.eventtime import flag_out_of_order, is_late, running_max_event_time
 from evpipe.operators.parse import base_record, parse_events
 from evpipe.operators.route import mark_duplicates, route
-from evpipe.operators.skew import hot_key_values
+from evpipe.operators.skew import find_hot_patients
 from evpipe.operators.validate import (
     first_reason,
     has_phi_keys,
@@ -120,7 +120,7 @@ def _rejected(spark, sf, profile="stream", extra=()):
 
 def _alerts(spark, sf, profile="stream"):
     checked = _checked(spark, sf, profile)
-    hot = hot_key_values(checked, "patient_id")
+    hot = find_hot_patients(checked)
     accepted = route(checked, profile, LATENESS_SEC).filter("accepted")
     return alerts_with_cooldown(accepted, COOLDOWN_MS, hot)
 
@@ -962,7 +962,7 @@ def event_count(spark, sf):
 )
 def run_totals(spark, sf):
     routed = stage(_routed(spark, sf), "routed")
-    hot = hot_key_values(routed, "patient_id")
+    hot = find_hot_patients(routed)
     alerts = alerts_with_cooldown(routed.filter("accepted"), COOLDOWN_MS, hot)
     return met.run_totals(routed, alerts)
 
@@ -1198,7 +1198,7 @@ def _no_producer(spark):
 
 def _summary(spark, sf):
     events = stage(_with_latency(_routed(spark, sf)), "routed")
-    hot = hot_key_values(events, "patient_id")
+    hot = find_hot_patients(events)
     alerts = alerts_with_cooldown(events.filter("accepted"), COOLDOWN_MS, hot)
     return met.build_summary(events, alerts, _no_producer(spark))
 
@@ -1211,7 +1211,7 @@ def build_summary(spark, sf):
 @query()
 def local_summary(spark, sf):
     events = stage(_with_latency(_routed(spark, sf, "local", ("raw",))), "routed")
-    hot = hot_key_values(events, "patient_id")
+    hot = find_hot_patients(events)
     alerts = alerts_with_cooldown(events.filter("accepted"), COOLDOWN_MS, hot)
     return met.local_summary(events, alerts)
 
@@ -1435,7 +1435,7 @@ def append_alerts(spark, sf):
 )
 def save_run_metrics(spark, sf):
     events = stage(_with_latency(_routed(spark, sf, "local")), "routed")
-    hot = hot_key_values(events, "patient_id")
+    hot = find_hot_patients(events)
     alerts = alerts_with_cooldown(events.filter("accepted"), COOLDOWN_MS, hot)
     root = new_path(spark, "local")
     files.save_run_metrics(met.run_metrics(events, alerts), root)

@@ -6,17 +6,30 @@ next to the checkpoints, so neither a lost executor nor a second use parses the
 
 from __future__ import annotations
 
+import functools
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+@functools.cache
+def _local_dir(application: str) -> str:
+    return tempfile.mkdtemp(prefix="evpipe-")
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors can reach, as the cluster names it."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
+    """The folder all executors can reach, as the cluster names it.
+
+    Only a local session, which is one process, may do without: it gets a folder of its own.
+    """
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if folder:
+        return folder.rstrip("/")
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
-    return folder.rstrip("/")
+    return _local_dir(context.applicationId)
 
 
 def new_path(spark: SparkSession, label: str) -> str:

@@ -84,7 +84,7 @@ def test_enrich_with_hot_patient(spark):
     dim = patient_metadata(
         spark.createDataFrame([("P1", "x"), ("P60", "y")], "patient_id string, age_band string")
     )
-    for hot in (None, ["P1"]):
+    for hot in (None, spark.createDataFrame([("P1",)], "patient_id string")):
         rows = enrich(events, dim, None, hot).groupBy("patient_metadata").count().collect()
         assert {r[0]: r[1] for r in rows} == {
             '{"age_band":"x"}': 50, '{"age_band":"y"}': 1, "{}": 49,

@@ -8,7 +8,7 @@ from evpipe.operators.alerts import alerts_with_cooldown
 from evpipe.operators.cooldown import keep_by_blocks, keep_by_fold
 from evpipe.operators.prefix import last_values, running_max
 from evpipe.operators.route import route
-from evpipe.operators.skew import left_join_hot
+from evpipe.operators.skew import find_hot_patients, left_join_hot
 
 T0 = 1_700_000_000_000
 SCHEMA = (
@@ -74,7 +74,10 @@ def test_route_equals_record_by_record(spark, profile, hot_rows):
 def test_alerts_equal_record_by_record(spark, hot_rows):
     events = random_events(7, 600)
     want = alert_model(events, 60_000)
-    got = alerts_with_cooldown(frame(spark, events), 60_000, hot_rows=hot_rows).collect()
+    accepted = frame(spark, events)
+    hot = find_hot_patients(accepted, hot_rows)
+    assert (hot is None) == (hot_rows > 600)
+    got = alerts_with_cooldown(accepted, 60_000, hot).collect()
     assert {(r["patient_id"], r["arrival_seq"]) for r in got} == want
     assert len(got) == len(want) > 20
 

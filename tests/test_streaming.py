@@ -62,7 +62,7 @@ def test_stream_profile_run_and_restart(spark, sf_dir, tmp_path):
     assert rejected.count() == routed.filter("not accepted").count()
     want = {
         (r["patient_id"], r["alert_time_ms"])
-        for r in alerts_with_cooldown(accepted, COOL, []).collect()
+        for r in alerts_with_cooldown(accepted, COOL, None).collect()
     }
     raised = tables.read_table(spark, job.root, tables.ALERTS_BY_PATIENT)
     got = {(r["patient_id"], int(r["alert_time"].timestamp() * 1000)) for r in raised.collect()}
