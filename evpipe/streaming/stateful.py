@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,7 +13,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from evpipe.operators.eventtime import with_event_time
 from evpipe.operators.parse import parse_events
 from evpipe.operators.route import DUPLICATE, LATE
-from evpipe.operators.validate import validate
+from evpipe.operators.validate import first_reason, validate
 from evpipe.schema import (
     ALERT_COOLDOWN_MS,
     ALERT_LIMITS,
@@ -58,13 +57,16 @@ _ALERT_STATE = T.StructType(
 )
 
 
-def _together(batches) -> pd.DataFrame:
-    """The pieces of a group as one frame with plain Python texts."""
-    pdf = pd.concat(list(batches))
-    texts = [c for c in pdf.columns if isinstance(pdf[c].dtype, pd.StringDtype)]
-    pdf = pdf.astype({c: object for c in texts})
-    pdf[texts] = pdf[texts].where(pdf[texts].notna(), None)
-    return pdf
+def _arrivals(batches: Iterator[pd.DataFrame], columns: list[str]) -> list[tuple]:
+    """The rows of a group in order of arrival (the first column).
+
+    Most groups are a row or two, so plain tuples are much cheaper than frame operations.
+    """
+    rows = []
+    for pdf in batches:
+        rows.extend(zip(*[pdf[c].tolist() for c in columns], strict=True))
+    rows.sort(key=lambda row: row[0])
+    return rows
 
 
 def stream_route(raw: DataFrame, lateness_sec: int = DEFAULT_LATENESS_SEC) -> DataFrame:
@@ -72,101 +74,97 @@ def stream_route(raw: DataFrame, lateness_sec: int = DEFAULT_LATENESS_SEC) -> Da
 
     Per record key the state says whether a record was accepted. It is kept forever, as the
     contract has it; the state store (RocksDB on a cluster) holds one flag per accepted id.
-    Lateness compares with Spark's watermark, which moves between micro-batches.
+    Lateness compares with Spark's watermark, which moves between micro-batches. The Python side
+    sees only what decides; the record itself travels in one packed column.
     """
     events = with_event_time(validate(parse_events(raw, "stream"), "stream"), lateness_sec)
-    narrow = events.select(*ROUTED_COLUMNS, "event_ts")
-    fields = [narrow.schema[c] for c in ROUTED_COLUMNS]
-    output = T.StructType(
-        [*fields, T.StructField("accepted", T.BooleanType()), T.StructField("reason", T.StringType())]
+    record = events.select(*ROUTED_COLUMNS, "event_ts")
+    packed_schema = T.StructType([record.schema[c] for c in ROUTED_COLUMNS])
+    narrow = record.select(
+        "record_key",
+        "arrival_seq",
+        "event_ms",
+        (F.size("errors") == 0).alias("valid"),
+        F.to_json(F.struct(*ROUTED_COLUMNS)).alias("packed"),
+        "event_ts",
     )
     allowed = lateness_sec * 1000
-
-    def decide(pdf: pd.DataFrame, accepted_before: bool, watermark: int) -> pd.DataFrame:
-        pdf = pdf.sort_values("arrival_seq", kind="stable")
-        errors = [list(e) for e in pdf["errors"]]
-        valid = np.array([not e for e in errors], dtype=bool)
-        times = pdf["event_ms"].to_numpy(dtype="int64", na_value=-1)
-        late = valid & (times + allowed < watermark) if watermark > 0 else np.zeros(len(pdf), bool)
-        ok = valid & ~late
-        first = -1 if accepted_before else (int(ok.argmax()) if ok.any() else len(pdf))
-        for i, codes in enumerate(errors):
-            if i > first:
-                codes.append(DUPLICATE)
-            elif late[i]:
-                codes.append(LATE)
-        out = pdf[list(ROUTED_COLUMNS)].copy()
-        out["errors"] = errors
-        out["accepted"] = [not e for e in errors]
-        out["reason"] = [e[0] if e else "accepted" for e in errors]
-        return out
+    columns = ["arrival_seq", "event_ms", "valid", "packed"]
 
     def step(
         key: tuple, batches: Iterator[pd.DataFrame], state: GroupState
     ) -> Iterator[pd.DataFrame]:
-        watermark = state.getCurrentWatermarkMs()
         if state.exists:
             # Accepted in an earlier batch: all records are duplicates, in whatever order.
             for pdf in batches:
-                yield decide(_together([pdf]), True, watermark)
+                yield pd.DataFrame({"packed": pdf["packed"].tolist(), "extra": DUPLICATE})
             return
         # The order of arrival decides, so this key's records of one micro-batch come together;
         # the trigger limits how many that can be.
-        out = decide(_together(batches), False, watermark)
-        if out["accepted"].any():
+        watermark = state.getCurrentWatermarkMs()
+        accepted, packed, extra = False, [], []
+        for _, event_ms, valid, text in _arrivals(batches, columns):
+            late = valid and watermark > 0 and event_ms + allowed < watermark
+            packed.append(text)
+            extra.append(DUPLICATE if accepted else LATE if late else None)
+            accepted = accepted or (valid and not late)
+        if accepted:
             state.update((True,))
-        yield out
-
-    return narrow.groupBy("record_key").applyInPandasWithState(
-        step, output, "accepted boolean", "append", GroupStateTimeout.NoTimeout
+        yield pd.DataFrame({"packed": packed, "extra": pd.Series(extra, dtype=object)})
+
+    decided = narrow.groupBy("record_key").applyInPandasWithState(
+        step,
+        "packed string, extra string",
+        "accepted boolean",
+        "append",
+        GroupStateTimeout.NoTimeout,
+    )
+    unpacked = decided.select(F.from_json("packed", packed_schema).alias("r"), "extra")
+    errors = F.concat("r.errors", F.array_compact(F.array("extra")))
+    routed = unpacked.withColumn("_errors", errors).select(
+        *[f"r.{c}" for c in ROUTED_COLUMNS if c != "errors"], F.col("_errors").alias("errors")
     )
+    accepted = F.size("errors") == 0
+    reason = F.when(accepted, F.lit("accepted")).otherwise(first_reason(F.col("errors")))
+    return routed.withColumns({"accepted": accepted, "reason": reason})
 
 
 def stream_alerts(accepted: DataFrame, cooldown_ms: int = ALERT_COOLDOWN_MS) -> DataFrame:
     """Alerts of a stream of accepted records: last signal values and last alert per patient."""
+    names = list(RULE_SIGNALS)
     narrow = accepted.select(
         F.coalesce("patient_id", F.lit("")).alias("patient_id"),
         "arrival_seq",
         "event_ms",
         F.col("record_key").alias("event_id"),
-        "signal",
-        "signal_value",
+        # Position of the signal in the state, -1 when it is none of the rule's.
+        (F.coalesce(F.array_position(F.array(*map(F.lit, names)), F.col("signal")), F.lit(0)) - 1)
+        .cast("int")
+        .alias("signal"),
+        F.coalesce("signal_value", F.lit(0.0)).alias("signal_value"),
     )
-    names = list(RULE_SIGNALS)
+    columns = ["arrival_seq", "event_ms", "event_id", "signal", "signal_value"]
+    heart, temp, wbc, lactate = (ALERT_LIMITS[n] for n in names)
 
     def step(
         key: tuple, batches: Iterator[pd.DataFrame], state: GroupState
     ) -> Iterator[pd.DataFrame]:
-        before = state.get if state.exists else (None,) * (len(names) + 1)
-        last_alert = before[-1]
-        rows = _together(batches).sort_values("arrival_seq", kind="stable")
-        rows = rows.reset_index(drop=True)
-        for name, carried in zip(names, before[:-1], strict=True):
-            seen = rows["signal_value"].where(rows["signal"] == name).ffill()
-            rows[name] = seen.fillna(0.0 if carried is None else carried)
-        v = {name: rows[name] >= limit for name, limit in ALERT_LIMITS.items()}
-        hits = rows[
-            v["heart_rate"] & v["temperature_c"] & (v["wbc"] | v["lactate"])
-        ]
+        *values, last = state.get if state.exists else (0.0, 0.0, 0.0, 0.0, None)
         kept = []
-        for at, ms in zip(hits.index, hits["event_ms"], strict=True):
-            if last_alert is None or ms - last_alert >= cooldown_ms:
-                kept.append(at)
-                last_alert = int(ms)
-        end = rows[names].iloc[-1]
-        state.update((*[float(end[n]) for n in names], last_alert))
-        if kept:
-            out = hits.loc[kept]
-            yield pd.DataFrame(
-                {
-                    "patient_id": out["patient_id"],
-                    "alert_type": ALERT_TYPE,
-                    "alert_time_ms": out["event_ms"].astype("int64"),
-                    "event_id": out["event_id"],
-                    "arrival_seq": out["arrival_seq"],
-                    **{n: out[n] for n in names},
-                }
+        for seq, event_ms, event_id, signal, value in _arrivals(batches, columns):
+            if signal >= 0:
+                values[signal] = value
+            hit = (
+                values[0] >= heart
+                and values[1] >= temp
+                and (values[2] >= wbc or values[3] >= lactate)
             )
+            if hit and (last is None or event_ms - last >= cooldown_ms):
+                last = event_ms
+                kept.append((key[0], ALERT_TYPE, event_ms, event_id, seq, *values))
+        state.update((*values, last))
+        if kept:
+            yield pd.DataFrame(kept, columns=ALERT_SCHEMA.names)
 
     return narrow.groupBy("patient_id").applyInPandasWithState(
         step, ALERT_SCHEMA, _ALERT_STATE, "append", GroupStateTimeout.NoTimeout
