@@ -13,7 +13,7 @@ from evpipe.functions.json import (
     payload_json,
     payload_kind,
 )
-from evpipe.functions.text import is_blank, raw_hash, record_key
+from evpipe.functions.text import raw_hash, record_key
 from evpipe.functions.time import lenient_millis, strict_millis
 from evpipe.schema import check_profile
 

@@ -49,8 +49,8 @@ def left_join_hot(
     """`left` left-outer-join `right` (one row per key) when some keys fill much of `left`.
 
     `hot` holds the rows of `right` for the hot keys. Their number is limited (HOT_KEYS or
-    HOT_PATIENTS), so they are broadcast. The left rows they serve are then dealt over SALTS partitions by `spread`
-    instead of meeting in one; all others are joined by key.
+    HOT_PATIENTS), so they are broadcast. The left rows they serve are then dealt over SALTS
+    partitions by `spread` instead of meeting in one; all others are joined by key.
     """
     values = [c for c in right.columns if c != key]
     marked = left.join(

@@ -25,7 +25,7 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cpus: int = 8, checkpoint_dir: str | None = None, memory: str = "8g"):
+def local_session(cpus: int = 8, memory: str = "8g") -> SparkSession:
     """A local session for tests and benchmarks."""
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
@@ -38,8 +38,6 @@ def local_session(cpus: int = 8, checkpoint_dir: str | None = None, memory: str
     )
     for name, value in RUNTIME_CONF.items():
         builder = builder.config(name, value)
-    if checkpoint_dir:
-        builder = builder.config("spark.checkpoint.dir", checkpoint_dir)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark

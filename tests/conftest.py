@@ -9,10 +9,10 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
+def spark():
     from evpipe.session import local_session
 
-    return local_session(8, checkpoint_dir=str(tmp_path_factory.mktemp("shared")))
+    return local_session(8)
 
 
 @pytest.fixture(scope="session")
