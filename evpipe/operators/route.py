@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from evpipe.operators.eventtime import flag_out_of_order, is_late, running_max_event_time
 from evpipe.operators.skew import HOT_ROWS, hot_keys, left_join_hot
 from evpipe.operators.validate import first_reason, is_valid, joined_reason
+from evpipe.plans.staging import stage
 from evpipe.schema import DEFAULT_LATENESS_SEC, check_profile
 
 DUPLICATE = "duplicate_event_id"
@@ -24,7 +25,8 @@ def mark_duplicates(
     """Add `duplicate`: an earlier arrival with the same key was accepted.
 
     Only `ok` arrivals can be accepted, and the first of them is; so one minimum per key decides.
-    Keys that occur once need no lookup and do not enter the join. `seen` holds keys (one row
+    Keys that occur once need no lookup and do not enter the join. `events` is read twice, so it
+    should be a stored table. `seen` holds keys (one row
     each) that were accepted before these events arrived.
     """
     seq = F.col("arrival_seq")
@@ -37,12 +39,18 @@ def mark_duplicates(
         first = F.when(F.col("_seen"), F.lit(-(1 << 62)).cast("bigint")).otherwise(F.col("accepted_seq"))
         per_key = per_key.join(before, key, "left").withColumn("accepted_seq", first)
         decided = decided | F.col("_seen").isNotNull()
-    columns = [key, "accepted_seq", "n_rows"]
-    hot = hot_keys(per_key, "n_rows", hot_rows).select(*columns)
-    repeated = per_key.filter(decided).select(*columns)
-    found = left_join_hot(events, repeated, key, hot, seq)
+    needed = per_key.filter(decided | (F.col("n_rows") >= hot_rows))
+    # Written out, since the hot keys and the join both read it; with its size known, Spark can
+    # also tell whether the join fits a broadcast.
+    stored = stage(needed.select(key, "accepted_seq", "n_rows"), "repeated")
+    hot = hot_keys(stored, "n_rows", hot_rows)
+    repeated = stored.filter(F.col("accepted_seq").isNotNull())
+    if hot.isEmpty():
+        found = events.join(repeated, key, "left").select(*events.columns, "accepted_seq")
+    else:
+        found = left_join_hot(events, repeated, key, hot, seq).drop("n_rows")
     after = F.coalesce(seq > F.col("accepted_seq"), F.lit(False))
-    return found.withColumn("duplicate", after).drop("accepted_seq", "n_rows")
+    return found.withColumn("duplicate", after).drop("accepted_seq")
 
 
 def _flagged(events: DataFrame, profile: str, lateness_sec: int, hot_rows: int, **before):
