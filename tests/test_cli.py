@@ -1,4 +1,5 @@
 import json
+import uuid
 
 from test_rules import event
 
@@ -32,7 +33,7 @@ def test_stream_command(spark, tmp_path):
     out = str(tmp_path / "out")
     main([
         "stream", "--format", "text", "--option", f"path={tmp_path / 'in'}", "--output", out,
-        "--name", f"cli-{tmp_path.name}", "--once",
+        "--name", f"cli-{uuid.uuid4().hex}", "--once",
     ])
     valid = spark.read.text(f"{out}/topics/valid")
     assert valid.count() == 2 and json.loads(valid.first()["value"])["patient_id"] == "P000001"
