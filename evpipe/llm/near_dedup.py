@@ -175,31 +175,37 @@ def _compare_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     unit, held = None, []
 
     def found(rows: list) -> pa.RecordBatch | None:
-        ids = np.array([r[0] for r in rows], dtype=np.int64)
-        if len(ids) < 2:
+        if len(rows) < 2:
             return None
-        blocks = np.array([r[1] for r in rows])
-        sets: list[np.ndarray] = []
-        for block in word_blocks(
-            pa.array([r[2] for r in rows], pa.string()), white_space_words(), lower_ascii()
-        ):
+        sets: dict[int, np.ndarray] = {}
+        places = []
+        texts = pa.array([r[2] for r in rows], pa.string())
+        for block in word_blocks(texts, white_space_words(), lower_ascii()):
             flat, bounds = shingle_sets(block)
-            sets += [flat[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
-        root = linked(sets, blocks, rows[0][3])
+            prints = fingerprints(flat, bounds)[0].view(np.int64)
+            for r in range(len(prints)):
+                rep, place, _, _, print_ = rows[block.rows.start + r]
+                # Another row may have the id, but not the text, of the class.
+                if rep not in sets and prints[r] == print_:
+                    sets[rep] = flat[bounds[r] : bounds[r + 1]]
+                    places.append(place)
+        if len(sets) < 2:
+            return None
+        ids, blocks = np.array(list(sets), dtype=np.int64), np.array(places)
+        root = linked(list(sets.values()), blocks, rows[0][3])
         moved = np.flatnonzero(root != np.arange(len(ids)))
         if not len(moved):
             return None
         return pa.RecordBatch.from_arrays([pa.array(ids[moved]), pa.array(ids[root[moved]])], ["a", "b"])
 
     for batch in batches:
-        columns = [batch.column(c).to_pylist() for c in ("g", "u", "w", "rep", "block", "x")]
-        for g, u, w, rep, block, x in zip(*columns, strict=True):
+        columns = [batch.column(c).to_pylist() for c in ("g", "u", "w", "rep", "block", "x", "f1")]
+        for g, u, w, rep, block, x, print_ in zip(*columns, strict=True):
             if (g, u, w) != unit:
                 if out := found(held):
                     yield out
                 unit, held = (g, u, w), []
-            if not held or held[-1][0] != rep:
-                held.append((rep, block, x, u != w))
+            held.append((rep, block, x, u != w, print_))
     if out := found(held):
         yield out
 
@@ -237,11 +243,11 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     )
     texts = docs.select(F.col(f"`{key}`").cast("long").alias("d"), F.col(f"`{text}`").alias("x"))
     units = placed.join(texts, F.col("rep") == F.col("d")).select(
-        "g", "rep", "block", "x",
+        "g", "rep", "block", "x", "f1",
         F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"),
     ).select(
         "g", F.least("block", "other").alias("u"), F.greatest("block", "other").alias("w"),
-        "rep", "block", "x",
+        "rep", "block", "x", "f1",
     )
     dealt = units.repartition("g", "u", "w").sortWithinPartitions("g", "u", "w", "rep")
     links = stage(dealt.mapInArrow(_compare_units, "a long, b long"), "links")
