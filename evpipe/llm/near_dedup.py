@@ -214,7 +214,9 @@ def candidate_groups(classes: DataFrame) -> DataFrame:
     """`rep`, `g` of the classes that share a band with another one."""
     keys = classes.select("rep", F.explode("bands").alias("key"))
     stars = keys.groupBy("key").agg(F.min("rep").alias("center"), F.count("*").alias("n"))
-    met = keys.join(stars.filter("n > 1").drop("n"), "key").filter("rep <> center")
+    # Hinted, here and below, so that the plan does not change with the size of the tables.
+    shared = stars.filter("n > 1").drop("n").hint("merge")
+    met = keys.join(shared, "key").filter("rep <> center")
     edges = met.select(F.col("rep").alias("a"), F.col("center").alias("b")).distinct()
     pointed = components(edges)
     roots = pointed.select(F.col("root").alias("rep"), F.col("root").alias("g")).distinct()
@@ -242,7 +244,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         "block", F.pmod(F.xxhash64("rep"), F.col("blocks"))
     )
     texts = docs.select(F.col(f"`{key}`").cast("long").alias("d"), F.col(f"`{text}`").alias("x"))
-    units = placed.join(texts, F.col("rep") == F.col("d")).select(
+    units = placed.hint("merge").join(texts, F.col("rep") == F.col("d")).select(
         "g", "rep", "block", "x", "f1",
         F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"),
     ).select(
