@@ -32,6 +32,9 @@ class Table:
     def __post_init__(self):
         self.cum = np.concatenate(([0], np.cumsum(self.freq)))[:-1].astype(np.uint64)
         self.freq = self.freq.astype(np.uint64)
+        # The place of each id in `symbols`, -1 where it has none.
+        self.number = np.full(int(self.symbols.max(initial=-1)) + 1, -1, dtype=np.int32)
+        self.number[self.symbols] = np.arange(len(self.symbols))
 
     def slots(self) -> np.ndarray:
         """The number of the symbol that owns each slot."""
@@ -65,8 +68,10 @@ def encode(ids: np.ndarray, table: Table) -> Coded:
     """Code the ids of one block. Every id must be in the table."""
     n = len(ids)
     lanes = int(min(max(n // 256, 1), MOST_LANES))
-    at = np.searchsorted(table.symbols, ids)
-    if n and not np.array_equal(table.symbols[np.minimum(at, len(table.symbols) - 1)], ids):
+    if n and int(ids.max()) >= len(table.number):
+        raise ValueError("an id has no frequency")
+    at = table.number[ids]
+    if n and int(at.min()) < 0:
         raise ValueError("an id has no frequency")
     freq, cum = table.freq[at], table.cum[at]
     bits, full = np.uint64(table.bits), np.uint64(63 - table.bits)

@@ -201,6 +201,39 @@ def test_token_files_hold_the_tokenizers_ids(spark, edge, rows, empty, odd, sf_d
     assert ids[:2] == [None, None] and ids[2:] == sorted(ids[2:])
 
 
+def test_pieces_give_the_tokenizers_ids():
+    import random
+
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    from evpipe.llm.words import word_blocks
+
+    json = token_output.tokenizer_json()
+    tokenizer = Tokenizer.from_str(json)
+    bits = [
+        "a", "the", "Th", "\u00e9", "\u00df", "\u2019s", "'s", "'ll", "don't", "\n", "\n\n", " ", "  ",
+        "\t", ".", ",", "!?", "42", "3.5", "x9", "\u65e5\u672c", "\xa0", "\u2009", "\u3000", "\x1f", "\x85",
+        "<|endoftext|>", "%&", "_", "--", "~", "\U0001f600", "\ufb01", "\xd7", "\xf7", "\xb5", "\u0130",
+        "\r\n", "\u1680", "\u2028", "\u200b",
+    ]
+    rnd = random.Random(1)
+    rows = ["", None, " ", "\n", "a\n", "a \n b"]
+    for _ in range(3000):
+        rows.append("".join(
+            rnd.choice(bits) + rnd.choice(["", " ", "", " "]) for _ in range(rnd.randint(0, 14))
+        ))
+    encoder = token_output.PieceEncoder(json, 2)
+    got = []
+    for block in word_blocks(pa.array(rows), token_output.only_spaces(), None, 20_000):
+        ids, counts = encoder.encode(block)
+        bounds = np.concatenate(([0], np.cumsum(counts)))
+        got += [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:], strict=False)]
+    assert got == [
+        [*tokenizer.encode(x or "", add_special_tokens=False).ids, 2] for x in rows
+    ]
+
+
 def test_small_blocks_and_ids(spark, edge, rows, monkeypatch, tmp_path):
     monkeypatch.setattr(token_output, "BLOCK_TOKENS", 50)
     json = token_output.tokenizer_json()
