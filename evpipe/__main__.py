@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from evpipe.functions.time import ingest_latency
 from evpipe.operators import metrics
 from evpipe.operators.alerts import alert_details
+from evpipe.operators.enrich import patient_metadata
 from evpipe.plans.batch import run_batch
+from evpipe.plans.staging import remove_staged
 from evpipe.schema import ALERT_COOLDOWN_MS, DEFAULT_LATENESS_SEC
 from evpipe.session import tune
 from evpipe.sinks import files, tables
@@ -57,6 +59,8 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     stream.add_argument("--once", action="store_true", help="process what is there and end")
     routing(stream)
 
+    command("compact", "put the parts of the serving tables together")
+
     experiments = command("experiments", "compare the runs whose summaries lie in a folder")
     experiments.add_argument("--experiment-dir", required=True)
     return parser.parse_args(argv)
@@ -64,13 +68,15 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
 
 def batch_command(spark: SparkSession, args: argparse.Namespace) -> None:
     raw = readers.read_raw_batch(spark, args.input, args.format)
-    dim = spark.read.parquet(args.patients) if args.patients else spark.createDataFrame(
-        [], "patient_id string"
-    )
-    run = run_batch(raw, dim, args.profile, args.allowed_lateness_sec, args.cooldown_ms)
+    # Without a dimension, or when it can't be read, records pass with the failure marker.
+    dim = readers.patients_or_none(spark, args.patients)
+    out = args.output
+    seen = None
+    if args.profile == "local" and args.keep:
+        seen = files.stored_ids(spark, out)
+    run = run_batch(raw, dim, args.profile, args.allowed_lateness_sec, args.cooldown_ms, seen)
     latency = ingest_latency(F.col("processed_ms"), F.col("emit_ms"))
     events = run.events.withColumn("ingestion_latency_ms", latency)
-    out = args.output
     if args.profile == "local":
         files.append_events(run.accepted, out, reset=not args.keep)
         files.append_quarantine(run.quarantined, out, reset=not args.keep)
@@ -78,12 +84,15 @@ def batch_command(spark: SparkSession, args: argparse.Namespace) -> None:
         files.save_run_metrics(metrics.run_metrics(events, run.alerts), out)
         files.write_summary(metrics.local_summary(events, run.alerts), f"{out}/summary")
         return
-    tables.upsert_events_by_id(run.accepted, out)
-    tables.upsert_events_by_type(run.accepted, out)
-    tables.upsert_quarantine(run.quarantined, out)
     alerts = tables.alert_rows(run.alerts, alert_details())
-    tables.upsert_alerts_by_patient(alerts, out)
-    tables.upsert_alerts_by_type(alerts, out)
+    for write, rows, spec in (
+        (tables.upsert_events_by_id, run.accepted, tables.EVENTS_BY_ID),
+        (tables.upsert_events_by_type, run.accepted, tables.EVENTS_BY_TYPE),
+        (tables.upsert_quarantine, run.quarantined, tables.QUARANTINE_BY_REASON),
+        (tables.upsert_alerts_by_patient, alerts, tables.ALERTS_BY_PATIENT),
+        (tables.upsert_alerts_by_type, alerts, tables.ALERTS_BY_TYPE),
+    ):
+        write(rows, out, tables.begin_run(spark, out, spec, args.keep))
     producer = readers.read_run_metrics(spark, args.metrics_input or f"{out}/run_metrics.json")
     files.write_summary(metrics.build_summary(events, run.alerts, producer), f"{out}/summary")
 
@@ -115,7 +124,8 @@ def stream_command(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.profile == "local":
         start_local_routing(raw, job).awaitTermination()
         return
-    dim = readers.read_patient_dim(spark, args.patients) if args.patients else None
+    found = readers.patients_or_none(spark, args.patients)
+    dim = None if found is None else patient_metadata(found)
     start_run(spark, raw, dim, job)
     if not args.once:
         spark.streams.awaitAnyTermination()
@@ -127,12 +137,22 @@ def experiments_command(spark: SparkSession, args: argparse.Namespace) -> None:
     files.write_experiments_markdown(rows, args.output)
 
 
+def compact_command(spark: SparkSession, args: argparse.Namespace) -> None:
+    for spec in tables.ALL_TABLES:
+        tables.compact(spark, args.output, spec)
+
+
 def main(argv: list[str] | None = None) -> None:
     args = parse_args(argv)
     spark = tune(SparkSession.builder.appName("evpipe").getOrCreate())
-    {"batch": batch_command, "stream": stream_command, "experiments": experiments_command}[
-        args.command
-    ](spark, args)
+    run = {
+        "batch": batch_command, "stream": stream_command, "compact": compact_command,
+        "experiments": experiments_command,
+    }[args.command]
+    try:
+        run(spark, args)
+    finally:
+        remove_staged(spark)
 
 
 if __name__ == "__main__":

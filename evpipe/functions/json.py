@@ -16,10 +16,6 @@ def json_type(value: Column) -> Column:
     return F.schema_of_variant(value)
 
 
-def is_json_object(value: Column) -> Column:
-    return F.coalesce(F.startswith(json_type(value), F.lit("OBJECT<")), F.lit(False))
-
-
 def is_json_container(value: Column) -> Column:
     kind = F.coalesce(json_type(value), F.lit(""))
     return F.startswith(kind, F.lit("OBJECT<")) | F.startswith(kind, F.lit("ARRAY<"))
@@ -37,12 +33,6 @@ def blank_container(text: Column, value: Column) -> Column:
     return F.when(_looks_nested(text) & is_json_container(value), F.lit("")).otherwise(text)
 
 
-def blank_container_field(text: Column, raw: Column, name: str) -> Column:
-    """The same for a field of the record `raw`, decided by what follows the key."""
-    nested = raw.rlike(rf'"{name}"\s*:\s*[\[{{]')
-    return F.when(_looks_nested(text) & nested, F.lit("")).otherwise(text)
-
-
 def json_text(doc: Column, path: str) -> Column:
     """Scalar as text; NULL when absent or JSON null, empty text for objects and arrays."""
     return blank_container(F.try_variant_get(doc, path, "string"), json_part(doc, path))
@@ -76,21 +66,15 @@ def is_json_number(doc: Column, path: str) -> Column:
     return is_number_type(json_type(json_part(doc, path)))
 
 
-def payload_kind(raw: Column, text: Column) -> Column:
-    """`object`, `array`, `string`, `other` or `null` for the payload cut out as `text`.
-
-    Cutting out drops the quotes of a JSON string. A string that looks like a container either
-    has no quote inside or has escaped quotes in the record, and only such text needs the search
-    for the opening quote.
-    """
-    plain = F.contains(text, F.lit('"')) & ~F.contains(raw, F.lit('\\"'))
-    quoted = raw.rlike(r'"payload"\s*:\s*"')
-    nested = _looks_nested(text) & (plain | ~quoted)
+def payload_kind(value: Column) -> Column:
+    """`object`, `array`, `string`, `other` or `null` by the parsed payload, NULL without one."""
+    kind = json_type(value)
     return (
-        F.when(text.isNull(), F.when(raw.rlike(r'"payload"\s*:\s*null'), F.lit("null")))
-        .when(nested, F.when(text.startswith("{"), F.lit("object")).otherwise(F.lit("array")))
-        .when(quoted, F.lit("string"))
-        .otherwise(F.lit("other"))
+        F.when(kind.startswith("OBJECT<"), F.lit("object"))
+        .when(kind.startswith("ARRAY<"), F.lit("array"))
+        .when(kind == "STRING", F.lit("string"))
+        .when(kind == "VOID", F.lit("null"))
+        .when(kind.isNotNull(), F.lit("other"))
     )
 
 

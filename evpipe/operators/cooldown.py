@@ -31,8 +31,15 @@ from evpipe.operators.prefix import running_max
 BLOCK_COOLDOWNS = 16
 
 
+def check_cooldown(cooldown_ms: int) -> None:
+    """A cool-down of 0 keeps every hit that is not behind the one kept before; less is refused."""
+    if cooldown_ms < 0:
+        raise ValueError(f"the cool-down must not be negative, got {cooldown_ms}")
+
+
 def keep_by_fold(hits: DataFrame, key: str, cooldown_ms: int) -> DataFrame:
     """One fold per entity; for entities whose hits are known to fit in one row."""
+    check_cooldown(cooldown_ms)
     values = [c for c in hits.columns if c != key]
     hit = F.struct("arrival_seq", *[c for c in values if c != "arrival_seq"])
     grouped = hits.groupBy(key).agg(F.array_sort(F.collect_list(hit)).alias("_hits"))
@@ -132,10 +139,15 @@ def keep_by_blocks(
 
     `span_ms` bounds the distance between the first and last hit; it sets the number of levels.
     """
+    check_cooldown(cooldown_ms)
     hits = hits.select(key, "arrival_seq", "event_ms")
     before = running_max(
         hits, "arrival_seq", "event_ms", "_before", keys=[key], inclusive=False, chunk=chunk
     )
+    if cooldown_ms == 0:
+        return before.filter(
+            F.col("_before").isNull() | (F.col("event_ms") >= F.col("_before"))
+        ).drop("_before")
     rising = before.filter(F.col("_before").isNull() | (F.col("event_ms") > F.col("_before")))
     levels = [rising.select(key, "event_ms", F.col("event_ms").alias("exit_ms"))]
     widths = []

@@ -36,10 +36,13 @@ def enrich(
         text = F.when(ok, F.lit(LOOKUP_FAILED_JSON)).otherwise(F.lit("{}"))
         return events.withColumn("patient_metadata", text)
     lookup = dim.select("patient_id", F.to_json("metadata").alias("_json"))
+    # Records that are not accepted have nothing to look up and stay out of the exchange's keys.
+    asked = events.withColumn("_patient", F.col("patient_id"))
+    events = asked.withColumn("patient_id", F.when(ok, F.col("patient_id")))
     if hot_patients is not None:
         hot = lookup.join(F.broadcast(hot_patients), "patient_id", "left_semi")
         found = left_join_hot(events, lookup, "patient_id", hot, F.col("arrival_seq"))
     else:
         found = events.join(lookup, "patient_id", "left").select(*events.columns, "_json")
-    text = F.coalesce(F.when(ok, F.col("_json")), F.lit("{}"))
-    return found.withColumn("patient_metadata", text).drop("_json")
+    found = found.withColumn("patient_id", F.col("_patient")).drop("_patient")
+    return found.withColumn("patient_metadata", F.coalesce("_json", F.lit("{}"))).drop("_json")

@@ -112,12 +112,16 @@ def quarantine_samples(quarantined: DataFrame, n: int = 5) -> DataFrame:
 
 
 def run_throughput(events: DataFrame) -> DataFrame:
-    """Duration between first and last ingest, and records per second."""
+    """Duration between first and last ingest, and records per second.
+
+    Both are null when all records have one ingest time, as the lines of a text batch do: nothing
+    was measured then.
+    """
     spanned = events.agg(
         F.count(F.lit(1)).alias("total"),
         ((F.max("processed_ms") - F.min("processed_ms")) / 1000.0).alias("seconds"),
     )
-    duration = F.greatest(F.coalesce("seconds", F.lit(0.0)), F.lit(1e-9))
+    duration = F.when(F.col("seconds") > 0, F.col("seconds"))
     return spanned.select(
         "total",
         duration.alias("duration_sec"),
@@ -169,7 +173,11 @@ def build_summary(
     latency = latency_summary(accepted).select(
         F.struct("avg_ms", "p50_ms", "p95_ms", "max_ms").alias("latency_ms")
     )
-    run = producer.limit(1).agg(F.first(F.struct(*producer.columns)).alias("producer"))
+    several = F.raise_error(F.lit("more than one producer document"))
+    run = producer.agg(
+        F.when(F.count(F.lit(1)) > 1, several.cast("int")).alias("_check"),
+        F.first(F.struct(*producer.columns)).alias("producer"),
+    ).filter("_check IS NULL").drop("_check")
     add = lambda acc, v: acc + v
     valid = F.aggregate(F.map_values("event_counts"), F.lit(0).cast("bigint"), add)
     rejected = F.aggregate(F.map_values("quarantine_reasons"), F.lit(0).cast("bigint"), add)
@@ -195,7 +203,16 @@ def build_summary(
 
 
 def run_metrics(routed: DataFrame, alerts: DataFrame, size: int = THROUGHPUT_BUCKET) -> DataFrame:
-    """All counters of a local-profile run in one row, latencies of accepted records included."""
+    """All counters of a local-profile run in one row, latencies of accepted records included.
+
+    `throughput_buckets` lists the records per second of each `size` arrivals, in order.
+    """
+    buckets = throughput_buckets(routed, size).agg(
+        F.transform(
+            F.array_sort(F.collect_list(F.struct("bucket", "events_per_sec"))),
+            lambda b: b["events_per_sec"],
+        ).alias("throughput_buckets")
+    )
     accepted = routed.filter("accepted")
     percentiles = values_at_ranks(
         accepted, "ingestion_latency_ms", {"p50": nearest_rank(50), "p95": nearest_rank(95)}
@@ -213,6 +230,7 @@ def run_metrics(routed: DataFrame, alerts: DataFrame, size: int = THROUGHPUT_BUC
         .crossJoin(percentiles)
         .crossJoin(mean)
         .crossJoin(reason_map(routed.filter("not accepted")))
+        .crossJoin(buckets)
     )
 
 

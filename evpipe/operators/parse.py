@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from evpipe.functions.json import (
     blank_container,
-    blank_container_field,
     json_part,
     json_type,
     payload_json,
@@ -22,8 +21,9 @@ _ENVELOPE = (
     "source_emit_time:string,source:string,schema_version:string,payload:string,"
     "_malformed:string>"
 )
+# The same record with the values whose JSON type decides something.
+_TYPED = "struct<event_id:variant,patient_id:variant,payload:variant>"
 _STRICT_JSON = {
-    "columnNameOfCorruptRecord": "_malformed",
     "allowSingleQuotes": "false",
     "allowNonNumericNumbers": "false",
 }
@@ -42,7 +42,7 @@ def _by_type(keys: dict[str, str], read) -> Column:
 def parse_events(raw: DataFrame, profile: str = "stream") -> DataFrame:
     """Add typed columns to `raw` (column `raw` plus whatever orders and times the arrivals).
 
-    The text is read in one pass. Text that is no JSON gets the record hash as its id, the type
+    The text is read as text fields and as typed values. Text that is no JSON gets the record hash as its id, the type
     `unparseable` and the payload `{}`. `label` and `number` are the two payload values the rules
     look at (name and value of a vital, name and dose of a medication, ...); `malformed` marks
     text that is no JSON at all.
@@ -50,7 +50,9 @@ def parse_events(raw: DataFrame, profile: str = "stream") -> DataFrame:
     check_profile(profile)
     keep = raw.columns
     text = F.col("raw")
-    envelope = raw.withColumn("_j", F.from_json("raw", _ENVELOPE, _STRICT_JSON))
+    envelope = raw.withColumn(
+        "_j", F.from_json("raw", _ENVELOPE, {**_STRICT_JSON, "columnNameOfCorruptRecord": "_malformed"})
+    ).withColumn("_t", F.from_json("raw", _TYPED, _STRICT_JSON))
     # Arrays and scalars are JSON but no records: only the full parser can tell, and it runs
     # for those few texts alone.
     malformed = F.when(
@@ -65,19 +67,22 @@ def parse_events(raw: DataFrame, profile: str = "stream") -> DataFrame:
         ],
         F.col("_j.schema_version").alias("schema_version"),
         F.col("_j.source_emit_time").alias("_emit_text"),
-        payload_kind(text, F.col("_j.payload")).alias("payload_kind"),
+        payload_kind(F.col("_t.payload")).alias("payload_kind"),
         F.col("_j.payload").alias("_payload_text"),
+        "_t",
     )
     is_nested = F.col("payload_kind").isin("object", "array")
     marked = fields.withColumns(
         {
             "raw_hash": raw_hash(F.coalesce(text, F.lit(""))),
-            "patient_id": blank_container_field(F.col("patient_id"), text, "patient_id"),
-            "event_id": blank_container_field(F.col("event_id"), text, "event_id"),
+            **{
+                name: blank_container(F.col(name), F.col(f"_t.{name}"))
+                for name in ("patient_id", "event_id")
+            },
             "event_type": F.when(F.col("malformed"), F.lit("unparseable")).otherwise(
                 F.col("event_type")
             ),
-            "payload": F.when(is_nested, F.try_parse_json("_payload_text")),
+            "payload": F.when(is_nested, F.col("_t.payload")),
         }
     )
     to_ms = strict_millis if profile == "stream" else lenient_millis

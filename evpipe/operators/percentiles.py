@@ -69,6 +69,37 @@ def percentile_nearest(df: DataFrame, column: str, percentiles: dict[str, int])
     return found.select(*[F.coalesce(n, F.lit(0.0)).alias(n) for n in percentiles])
 
 
+def grouped_latency(
+    df: DataFrame, group: str, column: str = "ingestion_latency_ms"
+) -> DataFrame:
+    """`group`, `p50_ms` (mean of the middle two) and `p95_ms` (floor rank) of each group.
+
+    Equal values of a group are counted before they meet, so a group's task has one row per
+    distinct value: a latency is a whole number of milliseconds.
+    """
+    counted = (
+        df.filter(F.col(column).isNotNull())
+        .groupBy(group, F.col(column).cast("double").alias("v"))
+        .agg(F.count(F.lit(1)).alias("rows"))
+    )
+    whole = Window.partitionBy(group)
+    placed = counted.select(
+        group,
+        "v",
+        F.sum("rows").over(whole).alias("n"),
+        F.sum("rows").over(whole.orderBy("v")).alias("upto"),
+        (F.sum("rows").over(whole.orderBy("v")) - F.col("rows")).alias("below"),
+    )
+    n = F.col("n")
+
+    def at(rank: Column) -> Column:
+        rank = rank.cast("long")
+        return F.max(F.when((rank >= F.col("below")) & (rank < F.col("upto")), F.col("v")))
+
+    middle = (at(F.floor((n - 1) / 2)) + at(F.floor(n / 2))) / 2
+    return placed.groupBy(group).agg(middle.alias("p50_ms"), at(floor_rank(0.95)).alias("p95_ms"))
+
+
 def latency_summary(df: DataFrame, column: str = "ingestion_latency_ms") -> DataFrame:
     """avg, median (mean of the middle two), p95 and max; four zeros for an empty input."""
     n = F.col("n")

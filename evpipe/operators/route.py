@@ -26,8 +26,8 @@ def mark_duplicates(
 
     Only `ok` arrivals can be accepted, and the first of them is; so one minimum per key decides.
     Keys that occur once need no lookup and do not enter the join. `events` is read twice, so it
-    should be a stored table. `seen` holds keys (one row
-    each) that were accepted before these events arrived.
+    should be a stored table. `seen` holds keys that were accepted before these events arrived.
+    `arrival_seq` must be unique.
     """
     seq = F.col("arrival_seq")
     per_key = events.groupBy(key).agg(
@@ -35,7 +35,7 @@ def mark_duplicates(
     )
     decided = (F.col("n_rows") > 1) & F.col("accepted_seq").isNotNull()
     if seen is not None:
-        before = seen.select(key, F.lit(True).alias("_seen"))
+        before = seen.select(key).distinct().withColumn("_seen", F.lit(True))
         first = F.when(F.col("_seen"), F.lit(-(1 << 62)).cast("bigint")).otherwise(F.col("accepted_seq"))
         per_key = per_key.join(before, key, "left").withColumn("accepted_seq", first)
         decided = decided | F.col("_seen").isNotNull()

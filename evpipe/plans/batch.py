@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from evpipe.operators.alerts import alerts_with_cooldown
 from evpipe.operators.enrich import enrich, patient_metadata
 from evpipe.operators.parse import parse_events
-from evpipe.operators.route import route
+from evpipe.operators.route import route, route_local
 from evpipe.operators.skew import find_hot_patients
 from evpipe.operators.validate import validate
 from evpipe.plans.staging import stage
@@ -59,14 +59,19 @@ def run_batch(
     profile: str = "stream",
     lateness_sec: int = DEFAULT_LATENESS_SEC,
     cooldown_ms: int = ALERT_COOLDOWN_MS,
+    seen: DataFrame | None = None,
 ) -> BatchRun:
     """Route all records, enrich the accepted ones and raise alerts.
 
     Routed events are staged as well, because the tables, the alerts and the counts all read them.
+    `seen` holds the `event_id`s that earlier local runs accepted.
     """
     checked = checked_events(raw, profile, TEXT_COLUMNS)
     hot = find_hot_patients(checked)
-    routed = route(checked, profile, lateness_sec)
+    if seen is None:
+        routed = route(checked, profile, lateness_sec)
+    else:
+        routed = route_local(checked, lateness_sec, seen=seen)
     metadata = None if dim is None else patient_metadata(dim)
     enriched = enrich(routed, metadata, F.col("accepted"), hot)
     events = stage(enriched, f"routed-{profile}")

@@ -25,7 +25,7 @@ from evpipe.operators.enrich import enrich, patient_metadata
 from evpipe.operators.eventtime import flag_out_of_order, is_late, running_max_event_time
 from evpipe.operators.parse import base_record, parse_events
 from evpipe.operators.route import mark_duplicates, route
-from evpipe.operators.skew import find_hot_patients
+from evpipe.operators.skew import HOT_PATIENT_ROWS, find_hot_patients, mark_hot
 from evpipe.operators.validate import (
     first_reason,
     has_phi_keys,
@@ -125,6 +125,14 @@ def _alerts(spark, sf, profile="stream"):
     return alerts_with_cooldown(accepted, COOLDOWN_MS, hot)
 
 
+def _with_hot(spark, sf, profile="stream", min_rows=HOT_PATIENT_ROWS):
+    """Accepted events, and the column that marks hot patients (None when there are none)."""
+    checked = _checked(spark, sf, profile)
+    hot = find_hot_patients(checked, min_rows)
+    accepted = route(checked, profile, LATENESS_SEC).filter("accepted")
+    return (accepted, None) if hot is None else (mark_hot(accepted, hot, "_hot"), "_hot")
+
+
 def _with_latency(df):
     latency = tm.ingest_latency(F.col("processed_ms"), F.col("emit_ms"))
     return df.withColumn("ingestion_latency_ms", latency)
@@ -797,8 +805,8 @@ for _profile in ("stream", "local"):
 
     def _state(spark, sf, profile=_profile):
         names = RULE_SIGNALS if profile == "stream" else ALL_SIGNALS
-        state = patient_signal_state(_accepted(spark, sf, profile), names)
-        return state.select("arrival_seq", "patient_id", *names)
+        accepted, hot = _with_hot(spark, sf, profile)
+        return patient_signal_state(accepted, names, hot).select("arrival_seq", "patient_id", *names)
 
     _names = RULE_SIGNALS if _profile == "stream" else ALL_SIGNALS
     query(
@@ -810,7 +818,7 @@ for _profile in ("stream", "local"):
     )(_state)
 
     def _hits(spark, sf, profile=_profile):
-        hits = rule_hits(_accepted(spark, sf, profile))
+        hits = rule_hits(*_with_hot(spark, sf, profile))
         return hits.select("arrival_seq", "patient_id", *RULE_SIGNALS)
 
     query(
@@ -1082,6 +1090,13 @@ def _day_summaries(spark, sf):
         F.avg(F.when(F.col("accepted"), F.col("ingestion_latency_ms"))).alias("avg_ms"),
         F.max(F.when(F.col("accepted"), F.col("ingestion_latency_ms"))).alias("max_ms"),
     )
+    hot = find_hot_patients(events)
+    raised = alerts_with_cooldown(accepted, COOLDOWN_MS, hot).select("arrival_seq")
+    alerts = events.select("arrival_seq", "run").join(raised, "arrival_seq").groupBy("run").agg(
+        F.count(F.lit(1)).alias("alerts")
+    )
+    latency = pct.grouped_latency(accepted, "run").select("run", "p50_ms", "p95_ms")
+    whole = whole.join(alerts, "run", "left").join(latency, "run", "left")
     total = F.col("valid") + F.col("quarantine")
     null = F.lit(None)
     producer = F.struct(
@@ -1105,17 +1120,14 @@ def _day_summaries(spark, sf):
             F.struct(
                 "valid",
                 "quarantine",
-                F.lit(0).cast("bigint").alias("alerts"),
+                F.coalesce("alerts", F.lit(0)).alias("alerts"),
                 total.alias("processed"),
                 num.accepted_percent(F.col("valid"), total).alias("accepted_percent"),
             ).alias("totals"),
             "event_counts",
             "quarantine_reasons",
             F.struct(
-                "avg_ms",
-                F.col("max_ms").alias("p50_ms"),
-                F.col("max_ms").alias("p95_ms"),
-                "max_ms",
+                *[F.coalesce(c, F.lit(0.0)).alias(c) for c in ("avg_ms", "p50_ms", "p95_ms", "max_ms")]
             ).alias("latency_ms"),
             producer.alias("producer"),
         )
@@ -1126,7 +1138,19 @@ def _experiments(spark, sf):
     return exp.experiment_rows(_day_summaries(spark, sf))
 
 
-@query()
+_RUN_ROWS = """SELECT run, sent AS events_sent, patients, 0.0::DOUBLE AS rate_limit,
+  round(sent / seconds::DOUBLE, 2) AS producer_events_per_sec, valid, quarantine, alerts,
+  round(valid / CAST(valid + quarantine AS DOUBLE) * 100, 2) AS accepted_percent,
+  round(100 - round(valid / CAST(valid + quarantine AS DOUBLE) * 100, 2), 2) AS quarantine_percent,
+  round(avg_ms, 2) AS avg_latency_ms, round(p50, 2) AS p50_latency_ms,
+  round(p95, 2) AS p95_latency_ms, round(max_ms, 2) AS max_latency_ms,
+  coalesce(top_reason, 'none') AS top_quarantine_reason, coalesce(mix, 'none') AS event_mix
+FROM days LEFT JOIN day_latency USING (run) LEFT JOIN day_alerts USING (run)
+LEFT JOIN day_texts USING (run)"""
+
+
+@query(over("days", _RUN_ROWS.replace("alerts,", "coalesce(alerts, 0) AS alerts,", 1),
+            "day_latency", "day_alerts", "day_texts"))
 def experiment_rows(spark, sf):
     return _experiments(spark, sf)
 
@@ -1179,10 +1203,9 @@ def event_mix(spark, sf):
           (SELECT max(eps) FROM e) AS producer_events_per_sec,
           (SELECT run FROM e ORDER BY lat, run LIMIT 1) AS lowest_latency_run,
           (SELECT min(lat) FROM e) AS p95_latency_ms"""
-        .replace("FROM e", """FROM (SELECT d.run, round(sent / seconds::DOUBLE, 2) AS eps, lat
-          FROM days d JOIN (SELECT 'day-' || CAST(emit_ms // 86400000 AS STRING) AS run,
-            max(CASE WHEN accepted THEN CAST(processed_ms - emit_ms AS DOUBLE) END) AS lat
-            FROM routed_stream GROUP BY 1) l ON l.run = d.run)"""),
+        .replace("FROM e", """FROM (SELECT run, round(sent / seconds::DOUBLE, 2) AS eps,
+          round(p95, 2) AS lat FROM days LEFT JOIN day_latency USING (run))"""),
+        "day_latency",
     )
 )
 def best_runs(spark, sf):
@@ -1495,22 +1518,10 @@ def _stream_job(spark, sf):
     return job, read_raw_stream(spark, "parquet", {"path": f"{root}/in"})
 
 
-def _with_few_state_partitions(spark, work):
-    """State stores come one per shuffle partition; a small machine needs no more than cores."""
-    name = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(name)
-    cores = spark.sparkContext.defaultParallelism
-    spark.conf.set(name, str(min(int(before), cores)))
-    try:
-        return work()
-    finally:
-        spark.conf.set(name, before)
-
-
 @query(over("routed_nolate", "SELECT arrival_seq, accepted, reason FROM routed_nolate"))
 def stream_route(spark, sf):
     job, raw = _stream_job(spark, sf)
-    _with_few_state_partitions(spark, lambda: start_routing(raw, job).awaitTermination())
+    start_routing(raw, job).awaitTermination()
     return spark.read.parquet(job.routed_path).select("arrival_seq", "accepted", "reason")
 
 
@@ -1523,11 +1534,8 @@ def stream_route(spark, sf):
 def stream_alerts(spark, sf):
     job, raw = _stream_job(spark, sf)
 
-    def work():
-        start_routing(raw, job).awaitTermination()
-        start_alerts(spark, job).awaitTermination()
-
-    _with_few_state_partitions(spark, work)
+    start_routing(raw, job).awaitTermination()
+    start_alerts(spark, job).awaitTermination()
     stored = tables.read_table(spark, job.root, tables.ALERTS_BY_PATIENT)
     return stored.select(
         "patient_id", F.unix_millis("alert_time").alias("alert_ms"), "alert_type"
@@ -1539,17 +1547,14 @@ def run_fanout(spark, sf):
     job, raw = _stream_job(spark, sf)
     dim = patient_metadata(patients(spark, sf))
 
-    def work():
-        start_routing(raw, job).awaitTermination()
-        start_fanout(spark, dim, job).awaitTermination()
-
-    _with_few_state_partitions(spark, work)
+    start_routing(raw, job).awaitTermination()
+    start_fanout(spark, dim, job).awaitTermination()
     return tables.read_table(spark, job.root, tables.EVENTS_BY_ID).select("event_id", "event_type")
 
 
 @query(over("routed_local", "SELECT arrival_seq, accepted, reason FROM routed_local"))
 def stream_route_local(spark, sf):
     job, raw = _stream_job(spark, sf)
-    _with_few_state_partitions(spark, lambda: start_local_routing(raw, job).awaitTermination())
+    start_local_routing(raw, job).awaitTermination()
     routed = spark.read.parquet(f"{job.root}/local_routed")
     return routed.select("arrival_seq", "accepted", "reason")

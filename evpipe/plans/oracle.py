@@ -171,6 +171,29 @@ _VIEWS: dict[str, str] = {
           (max(processed_ms) - min(processed_ms)) / 1000.0 AS seconds
         FROM (SELECT *, 'day-' || CAST(emit_ms // 86400000 AS STRING) AS ts_day FROM routed_stream)
         GROUP BY ts_day""",
+    "day_latency": """
+        SELECT run, avg(v) AS avg_ms, max(v) AS max_ms, median(v) AS p50,
+          max(CASE WHEN i = least(n - 1, floor(n * 0.95)) THEN v END) AS p95
+        FROM (SELECT run, v, row_number() OVER (PARTITION BY run ORDER BY v) - 1 AS i,
+            count(*) OVER (PARTITION BY run) AS n
+          FROM (SELECT 'day-' || CAST(emit_ms // 86400000 AS STRING) AS run,
+            CAST(processed_ms - emit_ms AS DOUBLE) AS v FROM routed_stream WHERE accepted))
+        GROUP BY run""",
+    "day_alerts": """
+        SELECT 'day-' || CAST(emit_ms // 86400000 AS STRING) AS run, count(*) AS alerts
+        FROM alerts_stream JOIN (SELECT arrival_seq AS s, emit_ms FROM routed_stream) ON s = arrival_seq
+        GROUP BY 1""",
+    "day_texts": """
+        SELECT run, max(CASE WHEN NOT accepted AND rk = 1 THEN reason || ' (' || n || ')' END)
+            AS top_reason,
+          string_agg(CASE WHEN accepted THEN event_type || ':' || n END, ', ' ORDER BY event_type)
+            AS mix
+        FROM (SELECT *, row_number() OVER (PARTITION BY run, accepted ORDER BY n DESC, reason) AS rk
+          FROM (SELECT 'day-' || CAST(emit_ms // 86400000 AS STRING) AS run, accepted, count(*) AS n,
+              CASE WHEN accepted THEN event_type END AS event_type,
+              CASE WHEN NOT accepted THEN reason END AS reason
+            FROM routed_stream GROUP BY 1, 2, 4, 5))
+        GROUP BY run""",
 }
 
 _NEEDS = {
@@ -181,6 +204,9 @@ _NEEDS = {
     "stored": ["routed_stream"],
     "latencies": ["stored"],
     "days": ["routed_stream"],
+    "day_latency": ["routed_stream"],
+    "day_alerts": ["alerts_stream", "routed_stream"],
+    "day_texts": ["routed_stream"],
 }
 for _p in ("stream", "local", "nolate"):
     _NEEDS.update(

@@ -6,34 +6,38 @@ next to the checkpoints, so neither a lost executor nor a second use parses the
 
 from __future__ import annotations
 
-import functools
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-@functools.cache
-def _local_dir(application: str) -> str:
-    return tempfile.mkdtemp(prefix="evpipe-")
-
-
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors can reach, as the cluster names it.
-
-    Only a local session, which is one process, may do without: it gets a folder of its own.
-    """
+    """The folder all executors can reach, as the cluster names it, else the warehouse."""
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
-    return _local_dir(context.applicationId)
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+
+
+def staging_root(spark: SparkSession) -> str:
+    """Where this application keeps its staged tables."""
+    return f"{shared_dir(spark)}/evpipe/staged/{spark.sparkContext.applicationId}"
 
 
 def new_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/evpipe/{label}-{uuid.uuid4().hex}"
+    return f"{staging_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder on whatever store it lies; nothing happens when there is none."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def remove_staged(spark: SparkSession) -> None:
+    """Remove what this application has staged, at the end of a run."""
+    remove_path(spark, staging_root(spark))
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
@@ -43,12 +47,3 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
-
-def spread(df: DataFrame) -> DataFrame:
-    """Deal the rows over all cores when the input has fewer splits than that.
-
-    Parsing is per record, so it is worth moving a small input once; a large one has splits
-    enough and is returned as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

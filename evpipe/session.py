@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 RUNTIME_CONF = {
@@ -14,6 +16,8 @@ RUNTIME_CONF = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # Of repeated keys in a JSON object the last one counts.
+    "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
@@ -35,6 +39,8 @@ def local_session(cpus: int = 8, memory: str = "8g") -> SparkSession:
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.driver.memory", memory)
+        # One process on one machine: here, and only here, a folder of its own is a shared one.
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="evpipe-"))
     )
     for name, value in RUNTIME_CONF.items():
         builder = builder.config(name, value)

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evpipe.functions.json import canonical_json, quoted
@@ -109,6 +110,17 @@ def append_events(events: DataFrame, root: str, reset: bool = False) -> None:
     events.write.mode(_mode(reset)).parquet(f"{root}/events")
 
 
+def stored_ids(spark: SparkSession, root: str) -> DataFrame | None:
+    """The ids that earlier runs accepted, None when there are none."""
+    try:
+        events = spark.read.schema("event_id string").parquet(f"{root}/events")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return events.select(F.coalesce("event_id", F.lit("None")).alias("event_id")).distinct()
+
+
 def save_run_metrics(metrics: DataFrame, root: str) -> None:
     """Replace the single stored metrics row."""
     metrics.write.mode("overwrite").json(f"{root}/run_metrics")

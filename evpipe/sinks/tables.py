@@ -2,7 +2,7 @@
 
 A table is a folder of `batch_id=<n>` parts. Writing a part again replaces it, so a replayed
 micro-batch changes nothing, and reading keeps the latest row per key: together an upsert that
-never rewrites old data. `rewrite` copies the current rows to a new folder when parts pile up.
+never rewrites old data. `compact` puts the current rows into one part when parts pile up.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from evpipe.functions.time import ingest_latency, ts_or_ingest
 from evpipe.operators.validate import first_reason
+from evpipe.plans.staging import remove_path
 
 # A batch_id is at least 0, so the column also orders the parts.
 _PART = "batch_id"
@@ -29,15 +30,27 @@ class TableSpec:
     order: tuple[str, ...]
     partition: str | None = None
     sort: tuple[str, ...] = ()
+    schema: str = ""
 
 
-EVENTS_BY_ID = TableSpec("events_by_id", ("event_id",), ("processed_at",))
+EVENTS_BY_ID = TableSpec(
+    "events_by_id",
+    ("event_id",),
+    ("processed_at",),
+    None,
+    ("event_id",),
+    "event_id string, patient_id string, event_type string, event_time timestamp, source string, "
+    "payload string, patient_metadata string, ingestion_latency_ms double, raw_event string, "
+    "processed_at timestamp",
+)
 EVENTS_BY_TYPE = TableSpec(
     "events_by_type",
     ("event_type", "event_id"),
     ("arrival_seq",),
     "event_type",
     ("event_type", "event_id"),
+    "event_id string, patient_id string, event_time timestamp, arrival_seq bigint, "
+    "event_type string",
 )
 QUARANTINE_BY_REASON = TableSpec(
     "quarantine_by_reason",
@@ -45,6 +58,8 @@ QUARANTINE_BY_REASON = TableSpec(
     ("arrival_seq",),
     "reason",
     ("reason", "observed_at", "event_id"),
+    "observed_at timestamp, event_id string, errors array<string>, raw_event string, "
+    "arrival_seq bigint, reason string",
 )
 ALERTS_BY_PATIENT = TableSpec(
     "alerts_by_patient",
@@ -52,6 +67,8 @@ ALERTS_BY_PATIENT = TableSpec(
     ("arrival_seq",),
     None,
     ("patient_id", "alert_time"),
+    "patient_id string, alert_time timestamp, alert_type string, details string, "
+    "arrival_seq bigint",
 )
 ALERTS_BY_TYPE = TableSpec(
     "alerts_by_type",
@@ -59,6 +76,13 @@ ALERTS_BY_TYPE = TableSpec(
     ("arrival_seq",),
     "alert_type",
     ("alert_type", "alert_time", "patient_id"),
+    "patient_id string, alert_time timestamp, details string, arrival_seq bigint, "
+    "alert_type string",
+)
+
+
+ALL_TABLES = (
+    EVENTS_BY_ID, EVENTS_BY_TYPE, QUARANTINE_BY_REASON, ALERTS_BY_PATIENT, ALERTS_BY_TYPE
 )
 
 
@@ -72,7 +96,9 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
 
 def upsert(df: DataFrame, root: str, spec: TableSpec, batch_id: int = 0) -> None:
     """Write `df` as one part of the table under `root`."""
-    rows = df.sortWithinPartitions(*spec.sort) if spec.sort else df
+    columns = [c.split()[0] for c in spec.schema.split(", ")]
+    rows = df.select(*columns)
+    rows = rows.sortWithinPartitions(*spec.sort) if spec.sort else rows
     writer = rows.write.mode("overwrite")
     if spec.partition:
         writer = writer.partitionBy(spec.partition)
@@ -86,14 +112,43 @@ def read_table(spark: SparkSession, root: str, spec: TableSpec) -> DataFrame:
 
 
 def read_parts(spark: SparkSession, root: str, spec: TableSpec) -> DataFrame:
-    return spark.read.option("basePath", f"{root}/{spec.name}").parquet(
+    """All stored rows. The schema is declared, so a table without rows reads as one."""
+    schema = f"{spec.schema}, {_PART} bigint"
+    return spark.read.schema(schema).option("basePath", f"{root}/{spec.name}").parquet(
         f"{root}/{spec.name}/{_PART}=*"
     )
 
 
-def rewrite(spark: SparkSession, root: str, new_root: str, spec: TableSpec) -> None:
-    """Copy the current rows into one part of a table under another root."""
-    upsert(read_table(spark, root, spec), new_root, spec, 0)
+def next_batch_id(spark: SparkSession, root: str, spec: TableSpec) -> int:
+    """One more than the highest part that is stored, 0 for a table that isn't there."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/{spec.name}")
+    store = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not store.exists(folder):
+        return 0
+    names = [status.getPath().getName() for status in store.listStatus(folder)]
+    parts = [int(n.split("=")[1]) for n in names if n.startswith(f"{_PART}=")]
+    return max(parts, default=-1) + 1
+
+
+def begin_run(spark: SparkSession, root: str, spec: TableSpec, keep: bool) -> int:
+    """The part a run writes: the next one, or the first of a table that starts afresh."""
+    if keep:
+        return next_batch_id(spark, root, spec)
+    remove_path(spark, f"{root}/{spec.name}")
+    return 0
+
+
+def compact(spark: SparkSession, root: str, spec: TableSpec) -> None:
+    """Put the current rows into one new part and remove the parts before it.
+
+    Until the old parts are gone a reader sees rows twice and keeps the latest, as always.
+    """
+    last = next_batch_id(spark, root, spec)
+    if last == 0:
+        return
+    upsert(read_table(spark, root, spec), root, spec, last)
+    for part in range(last):
+        remove_path(spark, f"{root}/{spec.name}/{_PART}={part}")
 
 
 def _millis(column: str):

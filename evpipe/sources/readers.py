@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from evpipe.operators.enrich import patient_metadata
 from evpipe.schema import EXPERIMENT_SCHEMA, PRODUCER_SCHEMA, RAW_SCHEMA, SUMMARY_SCHEMA
@@ -19,15 +18,19 @@ def read_raw_stream(spark: SparkSession, fmt: str, options: dict[str, str]) -> D
     """Raw records as a stream of (arrival_seq, raw, processed_ms).
 
     `kafka` starts at the earliest offset; `parquet` files hold these columns; `text` files hold
-    one record per line. The sequence number orders the records of one key: by broker time and
-    offset for Kafka, by trigger for text.
+    one record per line. For Kafka the sequence number is the offset with the partition behind it:
+    unique over all partitions (up to 2^16 of them) and rising within each, so it orders the
+    records of one message key as the broker does. Lines of text that come in one micro-batch
+    have one number in common; `number_arrivals` tells them apart.
     """
     reader = spark.readStream.format(fmt)
     if fmt == "kafka":
         rows = reader.option("startingOffsets", "earliest").options(**options).load()
         ingest = F.unix_millis("timestamp")
         return rows.select(
-            (F.shiftleft(ingest, 20) + F.pmod("offset", F.lit(1 << 20))).alias("arrival_seq"),
+            F.shiftleft("offset", 16).bitwiseOR(F.col("partition").cast("bigint")).alias(
+                "arrival_seq"
+            ),
             F.col("value").cast("string").alias("raw"),
             ingest.alias("processed_ms"),
         )
@@ -55,14 +58,14 @@ def read_raw_batch(spark: SparkSession, path: str, fmt: str = "text") -> DataFra
     )
 
 
-def order_arrivals(kafka_rows: DataFrame) -> DataFrame:
-    """Total order for records of several partitions: ingest time, then partition and offset.
+def number_arrivals(rows: DataFrame, *order: str) -> DataFrame:
+    """`rows` with a unique `arrival_seq` that rises in the given order.
 
-    The records of one millisecond are numbered among themselves, so nothing is sorted globally;
-    20 bits are room for a million records per millisecond.
+    A distributed sort deals the rows over tasks in ranges; a row's number is its range and its
+    place there. Rows that are alike in `order` (say broker time, partition, offset) get numbers of
+    their own in no particular order.
     """
-    place = F.row_number().over(Window.partitionBy("processed_ms").orderBy("partition", "offset"))
-    return kafka_rows.withColumn("arrival_seq", F.shiftleft("processed_ms", 20) + place)
+    return rows.orderBy(*order).withColumn("arrival_seq", F.monotonically_increasing_id())
 
 
 def read_patient_dim(spark: SparkSession, path: str) -> DataFrame:
@@ -70,6 +73,16 @@ def read_patient_dim(spark: SparkSession, path: str) -> DataFrame:
     return patient_metadata(spark.read.parquet(path))
 
 
+def patients_or_none(spark: SparkSession, path: str | None) -> DataFrame | None:
+    """The patient table, None when there is none to read."""
+    if path is None:
+        return None
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException:
+        return None
+
+
 def _read_json_or_none(spark: SparkSession, path: str, schema, many_lines: bool = True):
     try:
         return spark.read.schema(schema).option("multiLine", many_lines).json(path)

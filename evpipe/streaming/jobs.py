@@ -22,9 +22,10 @@ from evpipe.operators.enrich import enrich
 from evpipe.operators.parse import parse_events
 from evpipe.operators.route import route_local
 from evpipe.operators.validate import validate
-from evpipe.plans.staging import shared_dir
+from evpipe.plans.staging import shared_dir, stage
 from evpipe.schema import ALERT_COOLDOWN_MS, DEFAULT_LATENESS_SEC
 from evpipe.sinks import files, tables
+from evpipe.sources.readers import number_arrivals
 from evpipe.streaming.stateful import stream_alerts, stream_route
 
 _ROUTED_SCHEMA = (
@@ -160,7 +161,9 @@ def route_local_batch(batch: DataFrame, batch_id: int, job: StreamJob) -> None:
     replay reads only what lies before it and replaces its own part.
     """
     spark = batch.sparkSession
-    checked = validate(parse_events(batch, "local"), "local").persist()
+    # Written before it is parsed: the numbers must not change when the batch is read again.
+    numbered = stage(number_arrivals(batch, "arrival_seq", "processed_ms"), "numbered")
+    checked = validate(parse_events(numbered, "local"), "local").persist()
     try:
         times = _parts_before(spark, f"{job.root}/local_time", "max_event_ms bigint", batch_id)
         seen = _parts_before(spark, f"{job.root}/local_ids", "event_id string", batch_id)

@@ -62,8 +62,8 @@ def test_upsert_replaces_and_replays(spark, tmp_path):
         for r in tables.read_table(spark, where, spec).collect()
     }
     assert read(root) == want
-    tables.rewrite(spark, root, f"{root}/new", spec)
-    assert read(f"{root}/new") == want
+    tables.compact(spark, root, spec)
+    assert read(root) == want and tables.next_batch_id(spark, root, spec) == 3
     parts = tables.read_parts(spark, root, spec).filter("reason = 'dup'")
     assert "PartitionFilters: [isnotnull(reason" in parts._jdf.queryExecution().toString()
 
@@ -156,5 +156,14 @@ def test_summary_document(spark, sf_dir, tmp_path):
 def test_kafka_order_within_a_millisecond(spark):
     rows = [("a", 5, 1, 10), ("b", 5, 0, 99), ("c", 4, 3, 7)]
     df = spark.createDataFrame(rows, "raw string, processed_ms bigint, partition int, offset bigint")
-    got = [r["raw"] for r in readers.order_arrivals(df).orderBy("arrival_seq").collect()]
-    assert got == ["c", "b", "a"]
+    numbered = readers.number_arrivals(df, "processed_ms", "partition", "offset")
+    assert [r["raw"] for r in numbered.orderBy("arrival_seq").collect()] == ["c", "b", "a"]
+
+
+def test_table_without_rows(spark, tmp_path):
+    root = str(tmp_path)
+    for spec in tables.ALL_TABLES:
+        nothing = spark.createDataFrame([], spec.schema)
+        tables.upsert(nothing, root, spec, tables.begin_run(spark, root, spec, False))
+        assert tables.read_table(spark, root, spec).count() == 0
+        assert tables.next_batch_id(spark, root, spec) == 1

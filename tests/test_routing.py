@@ -103,6 +103,22 @@ def test_cooldown_blocks_equal_fold(spark, start):
     assert len(blocks) == len(want) > 300
 
 
+@pytest.mark.parametrize("cooldown", [0, 1, 600_000, 86_400_000])
+def test_blocks_equal_the_fold_for_any_cooldown(spark, cooldown):
+    rnd = random.Random(cooldown)
+    rows, clock = [], T0
+    for i in range(400):
+        clock += rnd.choice([0, 0, 1, 2, 40_000, 700_000])
+        rows.append((f"P{i % 2}", i, clock - rnd.choice([0, 0, 1, 500_000])))
+    df = spark.createDataFrame(rows, "patient_id string, arrival_seq bigint, event_ms bigint")
+    fold = keep_by_fold(df, "patient_id", cooldown).collect()
+    blocks = keep_by_blocks(df, "patient_id", cooldown, clock - T0, chunk=100).collect()
+    key = lambda found: sorted((r["patient_id"], r["arrival_seq"]) for r in found)
+    assert key(fold) == key(blocks) and len(fold) >= 2
+    with pytest.raises(ValueError):
+        keep_by_fold(df, "patient_id", -1)
+
+
 def test_running_max_over_small_chunks(spark):
     rnd = random.Random(3)
     rows = [
