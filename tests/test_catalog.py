@@ -46,3 +46,13 @@ def test_golden_counts(spark):
         "bad_medication_dose": 29, "missing_department": 28, "missing_medication": 26,
         "lab_out_of_range": 11, "vital_out_of_range": 7,
     }
+
+
+def test_every_code_occurs_on_the_edge_records(spark, sf_dir):
+    """All rules but the one for broken stored payloads, which no raw record can have."""
+    from evpipe.plans import edges
+
+    for profile, n_codes in (("stream", 17), ("local", 17)):
+        rows = edges._edges(spark, sf_dir, profile).collect()
+        codes = {c for r in rows for c in r["errors"].split("|") if c}
+        assert len(codes) >= n_codes, sorted(codes)
