@@ -14,6 +14,7 @@ from evpipe.llm import (
     line_dedup,
     mixing,
     near_dedup,
+    sql,
     substring_dedup,
     token_output,
     topk,
@@ -96,4 +97,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": pipeline,
 }
 
-ORACLES: dict[str, str] = {}
+# Learned models, random rounding and a tokenizer can't be told in SQL: those are tested against
+# held-out rows and plain versions.
+ORACLES: dict[str, str] = {
+    "op2_decontamination": sql.DECONTAMINATION,
+    "op5_license_scan": sql.LICENSES,
+    "op6_near_dedup": sql.NEAR,
+    "op8_line_dedup": sql.LINES,
+    "op9_top_k": sql.NEAREST,
+    "op10_substring_dedup": sql.SUBSTRINGS,
+}
