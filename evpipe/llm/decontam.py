@@ -149,8 +149,14 @@ def phrases_of(items: DataFrame, window: int, item: str, text: str) -> DataFrame
 
 def portions(phrases: DataFrame) -> Iterator[Portion]:
     """The windows with their items, in portions of a bounded number of words."""
+    words = phrases.agg(F.sum(F.length("words") / 8 + 1)).first()[0] or 0
+    if words <= PORTION_WORDS:
+        # One portion: fetched at once instead of task by task.
+        rows = sorted(phrases.collect(), key=lambda r: (bytes(r["words"]), r["item"] or ""))
+    else:
+        rows = phrases.orderBy("words", "item").toLocalIterator()
     held, size = [], 0
-    for row in phrases.orderBy("words", "item").toLocalIterator():
+    for row in rows:
         words = bytes(row["words"])
         if held and held[-1][0] == words:
             held[-1][1].append(row["item"])

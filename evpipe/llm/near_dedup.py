@@ -34,7 +34,6 @@ from evpipe.llm.words import (
     gram_hashes,
     lower_ascii,
     mix,
-    spans_within,
     white_space_words,
     word_blocks,
 )

@@ -150,8 +150,14 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.
 
 
 def _portions(asked: DataFrame) -> Iterator[tuple[list[int], list[np.ndarray]]]:
+    numbers = asked.agg(F.sum(F.size("v"))).first()[0] or 0
+    if numbers <= PORTION_NUMBERS:
+        # One portion: fetched at once instead of task by task.
+        found = sorted(asked.collect(), key=lambda r: r["id"])
+    else:
+        found = asked.orderBy("id").toLocalIterator()
     ids, rows, size = [], [], 0
-    for row in asked.orderBy("id").toLocalIterator():
+    for row in found:
         ids.append(row["id"])
         rows.append(np.array(row["v"], dtype=np.int64))
         size += len(row["v"])
