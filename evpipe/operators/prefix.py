@@ -3,8 +3,9 @@
 Rows are cut into chunks of consecutive sequence numbers. A chunk holds at most `CHUNK` rows,
 since sequence numbers are unique, so no window partition is large however the data are
 distributed. What earlier chunks contribute comes from a table with one row per chunk, itself cut
-into blocks of chunks; only the block table (one row per CHUNK * BLOCK sequence numbers, some
-thousands for 10^12 rows) is read in one piece.
+into blocks of chunks, and those into blocks of blocks. Only the table of the last level, one row per
+CHUNK * BLOCK ** LEVELS = 2^38 sequence numbers, is read in one piece: a few rows when numbers are
+dense, and one for every 32 tasks when each task numbers its rows in a range of its own.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql.window import Window
 
 CHUNK = 1 << 14
 BLOCK = 1 << 12
+LEVELS = 2
 
 
 def _before(columns: Sequence[str], order: str):
@@ -26,18 +28,27 @@ def _before(columns: Sequence[str], order: str):
 
 
 def max_before_chunk(
-    per_chunk: DataFrame, value: str, out: str, keys: Sequence[str] = (), block: int = BLOCK
+    per_chunk: DataFrame,
+    value: str,
+    out: str,
+    keys: Sequence[str] = (),
+    block: int = BLOCK,
+    levels: int = LEVELS,
 ) -> DataFrame:
     """Largest `value` of all earlier chunks, from a table of one row per (keys, _chunk)."""
+    if levels == 0:
+        return per_chunk.select(
+            *keys, "_chunk", F.max(value).over(_before(keys, "_chunk")).alias(out)
+        )
     chunks = per_chunk.withColumn("_block", F.expr(f"_chunk div {block}"))
-    blocks = chunks.groupBy(*keys, "_block").agg(F.max(value).alias("_block_max"))
-    before_block = blocks.select(
-        *keys, "_block", F.max("_block_max").over(_before(keys, "_block")).alias("_from_blocks")
+    blocks = chunks.groupBy(*keys, F.col("_block").alias("_chunk")).agg(
+        F.max(value).alias("_block_max")
     )
+    earlier = max_before_chunk(blocks, "_block_max", "_from_blocks", keys, block, levels - 1)
     in_block = F.max(value).over(_before([*keys, "_block"], "_chunk"))
     return (
         chunks.withColumn("_in_block", in_block)
-        .join(before_block, [*keys, "_block"])
+        .join(earlier.withColumnRenamed("_chunk", "_block"), [*keys, "_block"])
         .select(*keys, "_chunk", F.greatest("_from_blocks", "_in_block").alias(out))
     )
 
