@@ -37,41 +37,77 @@ def _print(words: bytes) -> bytes:
     return hashlib.blake2b(words, digest_size=16).digest()
 
 
+def _long(words: bytes) -> int:
+    return int.from_bytes(hashlib.blake2b(words, digest_size=8).digest(), "little", signed=True)
+
+
+def _cut_lines(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, list[list[bytes]]]]:
+    """For blocks of rows: the row and the number of each line that has words, and its words."""
+    for block in word_blocks(column, white_space_words()):
+        breaks = np.flatnonzero(block.data == 0x0A)
+        data = block.data.tobytes()
+        rows = np.repeat(np.arange(len(block.first) - 1), block.counts())
+        # Line breaks before a word, in the block and in its own row.
+        before = np.searchsorted(breaks, block.starts)
+        line = before - np.searchsorted(breaks, block.offsets[:-1])[rows]
+        opens = np.flatnonzero(np.diff(line, prepend=-1) | np.diff(rows, prepend=-1))
+        closes = np.append(opens[1:], len(rows)) if len(opens) else opens
+        words = []
+        for a, b in zip(opens.tolist(), closes.tolist(), strict=True):
+            spans = zip(block.starts[a:b].tolist(), block.ends[a:b].tolist(), strict=True)
+            words.append([data[p:q] for p, q in spans])
+        yield rows[opens] + block.rows.start, line[opens], words
+
+
 def lines_of(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """`doc_id`, `line`, `print`, `words` of every line that has words."""
+    """`doc_id`, `line`, `p1`, `p2` (fingerprint of the words) and `halves` of every line that has
+    words."""
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block in word_blocks(batch.column(1), white_space_words()):
-                breaks = np.flatnonzero(block.data == 0x0A)
-                data = block.data.tobytes()
-                rows = np.repeat(np.arange(len(block.first) - 1), block.counts())
-                # Lines before a word, in the block and in its own row.
-                before = np.searchsorted(breaks, block.starts)
-                line = before - np.searchsorted(breaks, block.offsets[:-1])[rows]
-                fresh = np.append(True, (rows[1:] != rows[:-1]) | (line[1:] != line[:-1]))
-                opens = np.flatnonzero(fresh) if len(rows) else np.empty(0, np.int64)
-                closes = np.append(opens[1:], len(rows)) if len(rows) else opens
-                words = []
-                for a, b in zip(opens.tolist(), closes.tolist(), strict=True):
-                    spans = zip(block.starts[a:b].tolist(), block.ends[a:b].tolist(), strict=True)
-                    words.append(b" ".join([data[p:q] for p, q in spans]))
-                own = pa.array(rows[opens] + block.rows.start, pa.int64())
+            for rows, line, words in _cut_lines(batch.column(1)):
+                prints = np.frombuffer(b"".join(_print(b" ".join(w)) for w in words), "<i8")
+                half = [halves(w) if len(w) >= LEAST_WORDS else [] for w in words]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).take(own), pa.array(line[opens], pa.int64()),
-                        pa.array([_print(w) for w in words], pa.binary()),
-                        pa.array(words, pa.binary()),
+                        batch.column(0).take(pa.array(rows, pa.int64())),
+                        pa.array(line, pa.int64()), pa.array(prints[0::2]), pa.array(prints[1::2]),
+                        pa.array(half, pa.list_(pa.int64())),
                     ],
-                    ["doc_id", "line", "print", "words"],
+                    ["doc_id", "line", "p1", "p2", "halves"],
                 )
 
     picked = docs.select(F.col(f"`{key}`").cast("long"), F.col(f"`{text}`"))
-    return picked.mapInArrow(run, "doc_id long, line long, print binary, words binary")
+    return picked.mapInArrow(run, "doc_id long, line long, p1 long, p2 long, halves array<long>")
+
 
+def _words_of(docs: DataFrame, key: str, text: str, wanted: DataFrame) -> DataFrame:
+    """`p1`, `p2`, `words` of the lines that `wanted` (`doc_id`, `line`) lists."""
+    listed = wanted.groupBy(F.col("doc_id").alias("d")).agg(F.collect_set("line").alias("numbers"))
+    picked = docs.select(F.col(f"`{key}`").cast("long").alias("k"), F.col(f"`{text}`").alias("x"))
+    # Hinted, so that the plan does not change with the size of the tables.
+    texts = picked.join(listed.hint("merge"), F.col("k").eqNullSafe(F.col("d")))
 
-def halves(words: list[bytes]) -> list[bytes]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            numbers = [set(x) for x in batch.column(1).to_pylist()]
+            for rows, line, words in _cut_lines(batch.column(0)):
+                kept = [
+                    b" ".join(w)
+                    for r, n, w in zip(rows.tolist(), line.tolist(), words, strict=True)
+                    if n in numbers[r]
+                ]
+                prints = np.frombuffer(b"".join(map(_print, kept)), "<i8")
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(prints[0::2]), pa.array(prints[1::2]), pa.array(kept, pa.binary())],
+                    ["p1", "p2", "words"],
+                )
+
+    return texts.select("x", "numbers").mapInArrow(run, "p1 long, p2 long, words binary")
+
+
+def halves(words: list[bytes]) -> list[int]:
     """Fingerprints of which two sequences that are one edit apart have one in common at least."""
     n = len(words)
     found = set()
@@ -79,8 +115,8 @@ def halves(words: list[bytes]) -> list[bytes]:
     # are untouched. This one may be the longer or the shorter of a pair.
     for m in (n, n + 1):
         a, b = m // 2, (m - 1) // 2
-        found.add(_print(b"<%d %s" % (m, b" ".join(words[:a]))))
-        found.add(_print(b">%d %s" % (m, b" ".join(words[n - b :] if b else []))))
+        found.add(_long(b"<%d %s" % (m, b" ".join(words[:a]))))
+        found.add(_long(b">%d %s" % (m, b" ".join(words[n - b :] if b else []))))
     return list(found)
 
 
@@ -100,81 +136,75 @@ def within_one_edit(a: list[bytes], b: list[bytes]) -> bool:
     return a[same + (len(a) == len(b)) :] == b[same + 1 :]
 
 
-def _emit(names: list[str], make) -> callable:
-    kinds = {"print": pa.binary(), "key": pa.binary(), "place": pa.int64()}
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for name, words in zip(
-                batch.column("print").to_pylist(), batch.column("words").to_pylist(), strict=True
-            ):
-                split = words.split(b" ")
-                if len(split) >= LEAST_WORDS:
-                    out += [(name, *x) for x in make(split)]
-            columns = list(zip(*out, strict=True)) or [[] for _ in names]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, kinds[n]) for c, n in zip(columns, names, strict=True)], names
-            )
-
-    return run
-
-
-def earlier_neighbours(distinct: DataFrame) -> DataFrame:
-    """`print` of the sequences that an earlier one is within one edit of.
-
-    `distinct` has a row for each sequence: `print`, `words` and `first`, where it first stands.
+def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names = ["p1", "p2", "k1", "k2", "place"]
+    for batch in batches:
+        rows = zip(*(batch.column(c).to_pylist() for c in ("p1", "p2", "words")), strict=True)
+        own, keys, places = [], [], []
+        for p1, p2, words in rows:
+            for key, place in neighbourhood(words.split(b" ")):
+                own.append((p1, p2))
+                keys.append(key)
+                places.append(place)
+        prints = np.frombuffer(b"".join(keys), "<i8")
+        first, second = zip(*own, strict=True) if own else ((), ())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(first, pa.int64()), pa.array(second, pa.int64()), pa.array(prints[0::2]),
+             pa.array(prints[1::2]), pa.array(places, pa.int64())],
+            names,
+        )
+
+
+def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        a, b = (batch.column(c).to_pylist() for c in ("words", "theirs"))
+        keep = [within_one_edit(x.split(b" "), y.split(b" ")) for x, y in zip(a, b, strict=True)]
+        yield batch.select(["p1", "p2"]).filter(pa.array(keep, pa.bool_()))
+
+
+def earlier_neighbours(docs: DataFrame, lines: DataFrame, first: DataFrame, key: str,
+                       text: str) -> DataFrame:
+    """`p1`, `p2` of the sequences that an earlier one is within one edit of.
+
+    `first` has a row for each sequence: `p1`, `p2` and `first`, where it first stands.
     """
-    both = distinct.select("print", "words")
-    half = both.mapInArrow(_emit(["print", "key"], lambda w: [(k,) for k in halves(w)]),
-                           "print binary, key binary")
-    half = stage(half, "halves")
-    shared = half.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
-    open_ = half.join(shared, "key", "left_semi").select("print").distinct()
-    candidates = stage(distinct.join(open_, "print", "left_semi"), "open-lines")
-    emitted = candidates.select("print", "words").mapInArrow(
-        _emit(["print", "key", "place"], neighbourhood), "print binary, key binary, place long"
+    half = lines.select("p1", "p2", F.explode("halves").alias("half"))
+    # Halves of one sequence only bring nothing together.
+    shared = half.groupBy("half").agg(F.min("p1").alias("low"), F.max("p1").alias("high"))
+    shared = shared.filter("low <> high").select("half").hint("merge")
+    open_ = stage(half.join(shared, "half").select("p1", "p2").distinct(), "open-lines")
+    candidates = stage(open_.hint("merge").join(first, ["p1", "p2"]), "candidates")
+    wanted = candidates.select("first.doc_id", "first.line")
+    words = stage(
+        _words_of(docs, key, text, wanted).dropDuplicates(["p1", "p2"]), "candidate-words"
     )
-    keyed = stage(emitted.join(candidates.select("print", "first"), "print"), "neighbours")
+    emitted = words.mapInArrow(_neighbours, "p1 long, p2 long, k1 long, k2 long, place long")
+    keyed = stage(emitted.join(candidates, ["p1", "p2"]), "neighbours")
     # The earliest of those that lack the same place, and of whole and lacking ones of one key.
-    lacking = keyed.filter("place >= 0")
-    own = F.struct("first", "print")
-    replaced = lacking.groupBy("key", "place").agg(F.min(own).alias("e"))
-    whole = keyed.filter("place < 0").select("key", own.alias("e"))
-    shorter = lacking.join(whole, "key").select("print", "first", "e")
-    longer = lacking.groupBy("key").agg(F.min(own).alias("e"))
-    met = lacking.join(replaced, ["key", "place"]).select("print", "first", "e").unionByName(shorter)
-    met = met.unionByName(
-        keyed.filter("place < 0").join(longer, "key").select("print", "first", "e")
-    )
-    earliest = met.filter("e.first < first").groupBy("print").agg(F.min("e").alias("e"))
-    pairs = earliest.select("print", F.col("e.print").alias("other"))
-    words = candidates.select(F.col("print").alias("p"), "words")
-    pairs = pairs.join(words, F.col("print") == F.col("p")).drop("p")
-    pairs = pairs.join(
-        words.withColumnRenamed("words", "theirs"), F.col("other") == F.col("p")
-    ).select("print", "words", "theirs")
-
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            a, b = (batch.column(c).to_pylist() for c in ("words", "theirs"))
-            keep = [within_one_edit(x.split(b" "), y.split(b" ")) for x, y in zip(a, b, strict=True)]
-            yield batch.select(["print"]).filter(pa.array(keep, pa.bool_()))
-
-    return pairs.mapInArrow(verify, "print binary")
+    lacking, whole = keyed.filter("place >= 0"), keyed.filter("place < 0")
+    own = F.struct("first", "p1", "p2")
+    replaced = lacking.groupBy("k1", "k2", "place").agg(F.min(own).alias("e"))
+    shorter = whole.select("k1", "k2", own.alias("e"))
+    longer = lacking.groupBy("k1", "k2").agg(F.min(own).alias("e"))
+    columns = ["p1", "p2", "first", "e"]
+    met = lacking.join(replaced, ["k1", "k2", "place"]).select(*columns)
+    met = met.unionByName(lacking.join(shorter, ["k1", "k2"]).select(*columns))
+    met = met.unionByName(whole.join(longer, ["k1", "k2"]).select(*columns))
+    earliest = met.filter("e.first < first").groupBy("p1", "p2").agg(F.min("e").alias("e"))
+    pairs = earliest.select("p1", "p2", F.col("e.p1").alias("q1"), F.col("e.p2").alias("q2"))
+    theirs = words.select(F.col("p1").alias("q1"), F.col("p2").alias("q2"), F.col("words").alias("theirs"))
+    pairs = pairs.join(words, ["p1", "p2"]).join(theirs, ["q1", "q2"])
+    return pairs.select("p1", "p2", "words", "theirs").mapInArrow(_verify, "p1 long, p2 long")
 
 
 def duplicate_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """`doc_id`, `line`, `gone` of every line that has words."""
     lines = stage(lines_of(docs, key, text), "lines")
     place = F.struct("doc_id", "line")
-    distinct = stage(
-        lines.groupBy("print").agg(F.min(place).alias("first"), F.first("words").alias("words")),
-        "distinct-lines",
-    )
-    near = earlier_neighbours(distinct).withColumn("near", F.lit(True))
-    facts = distinct.select("print", "first").join(near, "print", "left")
-    found = lines.select("doc_id", "line", "print").join(facts, "print")
+    first = stage(lines.groupBy("p1", "p2").agg(F.min(place).alias("first")), "first-lines")
+    near = earlier_neighbours(docs, lines, first, key, text).withColumn("near", F.lit(True))
+    facts = first.join(near, ["p1", "p2"], "left")
+    found = lines.select("doc_id", "line", "p1", "p2").join(facts, ["p1", "p2"])
     again = ~(F.col("first.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("first.line") == F.col("line")))
     return found.select("doc_id", "line", (F.col("near").isNotNull() | again).alias("gone"))
 
