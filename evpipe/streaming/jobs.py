@@ -162,13 +162,16 @@ def route_local_batch(batch: DataFrame, batch_id: int, job: StreamJob) -> None:
     """
     spark = batch.sparkSession
     # Written before it is parsed: the numbers must not change when the batch is read again.
-    numbered = stage(number_arrivals(batch, "arrival_seq", "processed_ms"), "numbered")
+    sourced = batch.withColumn("_source_seq", F.col("arrival_seq"))
+    numbered = stage(number_arrivals(sourced, "arrival_seq", "processed_ms"), "numbered")
     checked = validate(parse_events(numbered, "local"), "local").persist()
     try:
         times = _parts_before(spark, f"{job.root}/local_time", "max_event_ms bigint", batch_id)
         seen = _parts_before(spark, f"{job.root}/local_ids", "event_id string", batch_id)
         carried = None if times is None else times.agg(F.max("max_event_ms")).first()[0]
         routed = route_local(checked, job.lateness_sec, max_event_ms=carried, seen=seen)
+        # The numbers decide within the batch; what is stored has the source's own.
+        routed = routed.withColumn("arrival_seq", F.col("_source_seq")).drop("_source_seq")
         part = f"batch_id={batch_id}"
         routed.write.mode("overwrite").parquet(f"{job.root}/local_routed/{part}")
         done = spark.read.schema(routed.schema).parquet(f"{job.root}/local_routed/{part}")
