@@ -307,7 +307,6 @@ def id_counts(blocks: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         where = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(where), pa.array(total[where])], ["id", "n"])
 
-    small_batches(blocks.sparkSession, 8)
     counts = blocks.select("ids").mapInArrow(run, "id long, n long")
     rows = sorted(counts.groupBy("id").agg(F.sum("n").alias("n")).collect())
     return np.array([r["id"] for r in rows], np.int64), np.array([r["n"] for r in rows], np.int64)
@@ -317,7 +316,6 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_json: str, end_id: int =
                  key: str = "doc_id", text: str = "text") -> None:
     """Encode `docs` and write them to the folder `path`."""
     spark = docs.sparkSession
-    before = spark.conf.get(_ROWS)
     blocks = stage(token_blocks(docs, tokenizer_json, end_id, key, text), "token-ids")
     # One figure for each task of the stage before.
     totals = blocks.groupBy("part").agg(F.sum("n").alias("n")).collect()
@@ -359,10 +357,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_json: str, end_id: int =
 
     coded = blocks.select("part", "at", "n", "doc_ids", "doc_tokens", "ids")
     coded.mapInArrow(run, _SCHEMA).write.option("compression", "none").parquet(f"{path}/blocks")
-    spark.conf.set(_ROWS, before)
 
 
-_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _SCHEMA = (
     "start long, doc_ids array<long>, doc_tokens array<long>, n long, lanes long, words binary, "
     "states binary, check_states binary, check_places array<long>, crcs array<long>, words_crc long"
@@ -383,7 +379,6 @@ def read_tokens(spark: SparkSession, path: str, ids: bool = False) -> DataFrame:
     `ids_crc32`, and with `ids` the ids themselves."""
     table = read_table(spark, path)
     shared = spark.sparkContext.broadcast((table.bits, table.symbols, table.freq))
-    small_batches(spark, 8)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = rans.Table(*shared.value)

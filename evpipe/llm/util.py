@@ -43,7 +43,11 @@ def stage(df: DataFrame, label: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Hand fewer rows at once to Python: texts are long, and a batch is held as a whole."""
+    """Hand fewer rows at once to Python: texts are long, and a batch is held as a whole.
+
+    It holds for the session, as results are lazy. Rows that are longer still, such as blocks of
+    ids, are limited by Spark's own bound on the bytes of a batch.
+    """
     if int(spark.conf.get(_BATCH)) > rows:
         spark.conf.set(_BATCH, str(rows))
 
