@@ -26,6 +26,7 @@ one document however long. An empty table gives empty tables.
 
 from __future__ import annotations
 
+import gc
 import json
 import os
 import re
@@ -204,6 +205,14 @@ class PieceEncoder:
         """The ids of all rows of a block, end ids included, and how many belong to each row."""
         if max(self.entries, len(self.inner)) > PIECES_KEPT:
             self.forget()
+        # Hundreds of thousands of short lists and no cycle: nothing for the collector to find.
+        gc.disable()
+        try:
+            return self._encode(block)
+        finally:
+            gc.enable()
+
+    def _encode(self, block: Block) -> tuple[np.ndarray, np.ndarray]:
         n = len(block.first) - 1
         plain = plain_rows(block) if self.by_piece else np.zeros(n, dtype=bool)
         data = block.data.tobytes()
