@@ -9,8 +9,8 @@ that links, 0.85, a pair misses all bands with a probability under one in a mill
 
 Documents with equal sets are one class and go on as one. Candidates are gathered into groups, the
 components of the graph in which each band's bucket is a star. Within a group all pairs of classes
-are compared on their full sets: a task takes a group as a whole or, when its sets are large
-together, one pair of blocks of it, and passes on only a spanning forest of the links it finds.
+are compared on their full sets: a task takes a group as a whole or, when its sets are many or
+large together, one pair of blocks of it, and passes on only a spanning forest of the links it finds.
 The components of those forests are the result.
 
 Defined results: a null or word-free text has an empty set, is its own component and is kept; rows
@@ -46,6 +46,8 @@ SEED = 11
 SIMILARITY_PERCENT = 85
 # Shingles of a block of a group: about two such blocks are in a task at once.
 UNIT_SHINGLES = 150_000
+# Sets of a block: the matrices of a task have a row and a column for each set of two blocks.
+UNIT_SETS = 1_000
 
 
 def shingle_sets(block: Block) -> tuple[np.ndarray, np.ndarray]:
@@ -237,7 +239,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     sized = groups.join(classes.select(F.col("rep").alias("r"), "n", "f1", "f2"), F.col("rep") == F.col("r"))
     sized = stage(sized.drop("r"), "members")
     blocks = sized.groupBy("g").agg(
-        F.ceil(F.sum("n") / UNIT_SHINGLES).alias("blocks"), F.count("*").alias("in_group")
+        F.ceil(F.greatest(F.sum("n") / UNIT_SHINGLES, F.count("*") / UNIT_SETS)).alias("blocks"),
+        F.count("*").alias("in_group"),
     )
     placed = sized.join(blocks.filter("in_group > 1"), "g").withColumn(
         "block", F.pmod(F.xxhash64("rep"), F.col("blocks"))

@@ -357,6 +357,30 @@ def test_one_group_of_many_variants(spark):
     assert got == ordered(brute.near(rows))
 
 
+def test_units_of_many_short_variants_are_bounded(spark, monkeypatch):
+    """One notice whose last word differs: few shingles, many sets, all linked (14 of 16)."""
+    notice = " ".join(f"n{i}" for i in range(18))
+    texts = [f"{notice} {i}" for i in range(4500)] + [f"other {i} text of a few words" for i in range(50)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    compare = near_dedup._compare_units
+
+    def counted(batches):
+        held = {}
+
+        def look():
+            for batch in batches:
+                for unit in zip(*(batch.column(c).to_pylist() for c in "guw"), strict=True):
+                    held[unit] = held.get(unit, 0) + 1
+                    assert held[unit] <= 2500, "sets in a unit"
+                yield batch
+
+        yield from compare(look())
+
+    monkeypatch.setattr(near_dedup, "_compare_units", counted)
+    got = {r["doc_id"]: r["component_id"] for r in near_dedup.near_duplicates(docs).collect()}
+    assert got == {i: 0 if i < 4500 else i for i in range(len(texts))}
+
+
 def test_components(spark):
     rng = np.random.default_rng(3)
     edges = [(int(a), int(b)) for a, b in rng.integers(0, 400, (260, 2))]
