@@ -55,6 +55,10 @@ def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.best_licenses(read(spark, sf_dir, "documents"), licenses.template_frame(spark))
 
 
+def license_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.best_notices(read(spark, sf_dir, "documents"), licenses.notice_frame(spark))
+
+
 def near(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(read(spark, sf_dir, "documents"))
 
@@ -89,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_output": tokens,
     "op4_toxicity": toxic,
     "op5_license_scan": license_scan,
+    "license_notices": license_notices,
     "op6_near_dedup": near,
     "op7_mixing": mix,
     "op8_line_dedup": lines,

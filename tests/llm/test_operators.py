@@ -322,6 +322,63 @@ def test_license_scan_equals_brute_force(spark, edge, rows, empty, odd):
     assert licenses.best_licenses(odd, templates).count() == odd.count()
 
 
+def test_notices_equal_brute_force(spark, edge, empty, odd):
+    bodies = {p.stem: p.read_text() for p in licenses.TEXTS.glob("*.txt")}
+    header = next(t for n, t in licenses.HEADERS if n == "GPL-2.0")
+    wrapped = "# " + "\n# ".join(header[i : i + 70] for i in range(0, len(header), 70) if header[i:i + 70])
+    texts = [
+        "Some prose.\nCopyright (c) 2020 Foo\n\n" + bodies["MIT"] + "\nand code follows",
+        "Some prose first. This is released under the MIT license, as told. More prose.",
+        "Licensed under the MIT License.", "Copyright (c) 2020 Foo. All rights reserved.",
+        "code()\n" + wrapped + "\ncode()", bodies["BSD-2-Clause"], bodies["BSD-3-Clause"],
+        (bodies["MIT"] + "\n") * 2, "all rights of the MIT people", None, "", "MIT", "of the " * 500,
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    templates = licenses.notice_frame(spark)
+    short = templates.filter(F.length("text") < 2000)
+
+    def grams(words):
+        return list(zip(words, words[1:], strict=False))
+
+    def split(text):
+        return grams(brute.LETTER.findall((text or "").translate(brute.LOWER)))
+
+    expected = []
+    for doc, text in enumerate(texts):
+        own = split(text)
+        for name, template in ((r["license_id"], split(r["text"])) for r in short.collect()):
+            held, runs = set(template), []
+            for a in range(len(own)):
+                if own[a] not in held:
+                    continue
+                best, seen = (0.0, a), set()
+                for b in range(a, min(len(own), a + int(1.5 * len(template) + 1e-9))):
+                    seen.add(own[b])
+                    dice = 2 * len(seen & held) / (len(seen) + len(held)) if own[b] in held else 0
+                    best = min(best, (-dice, b))
+                if -best[0] >= licenses.THRESHOLD:
+                    runs.append((best[0], a, best[1] + 1))
+            taken = set()
+            for dice, a, b in sorted(runs):
+                if not taken & set(range(a, b + 1)):
+                    taken |= set(range(a, b + 1))
+                    expected.append((doc, a, b, name, round(-dice, 9)))
+    found = licenses.notices(docs, short).select("doc_id", F.explode("notices").alias("x"))
+    got = [(r[0], *r[1][:3], round(r[1][3], 9)) for r in found.collect()]
+    assert ordered(got) == ordered(expected)
+    best = {r["doc_id"]: r["license_id"] for r in licenses.best_notices(docs, templates).collect()}
+    assert [best[i] for i in range(len(texts))] == [
+        "MIT", "MIT", "MIT", "all-rights-reserved", "GPL-2.0", "BSD-2-Clause", "BSD-3-Clause", "MIT",
+        *[None] * 5,
+    ]
+    assert sum(1 for r in got if r[0] == 7) == 2
+    whole = spark.createDataFrame([(n, "x y\n" + t + "\nz") for n, t in bodies.items()], "doc_id string, text string")
+    assert all(r["license_id"] == r["doc_id"] for r in licenses.best_notices(whole, templates).collect())
+    assert licenses.best_notices(edge, templates.filter("false")).filter("n_notices > 0").count() == 0
+    assert licenses.best_notices(empty, templates).count() == 0
+    assert licenses.best_notices(odd, templates).count() == odd.count()
+
+
 # 6
 
 
