@@ -19,8 +19,14 @@ LEAST_LANGUAGE_SCORE = 0.5
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of a recognised language. The model learns from this stage's own input."""
+    """Documents of a recognised language. The model learns from this stage's own input.
+
+    When no training row has a language there is nothing to learn from, and all texts with letters
+    stay.
+    """
     model = lang_id.train(docs.filter(~lang_id.held_out()))
+    if model is None:
+        return docs.filter(docs["text"].rlike(r"\p{L}"))
     # A table may have columns named like the results; the documents' own columns stay.
     named = docs.select(*(docs[c].alias(f"own_{c}") for c in docs.columns))
     found = lang_id.predict(named, model, "own_text")

@@ -53,3 +53,19 @@ def test_language_stage_rejects_what_has_no_letters(spark, sf_dir):
     for row in edge_rows():
         if not lang_id.has_letter(row[1]):
             assert row[0] not in kept
+
+
+def test_language_stage_without_languages_keeps_texts_with_letters(spark, sf_dir):
+    rows = [(*r[:2], None, *r[3:]) for r in edge_rows()]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    found = corpus_pipeline.language_id(spark, docs, sf_dir)
+    assert found.columns == SCHEMA.names
+    kept = sorted(r["doc_id"] for r in found.collect())
+    assert kept == [r[0] for r in rows if lang_id.has_letter(r[1])]
+
+
+def test_language_stage_rejects_no_clean_document(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    kept = {r["doc_id"] for r in corpus_pipeline.language_id(spark, docs, sf_dir).collect()}
+    clean = [r["doc_id"] for r in docs.collect() if r["lang"] and lang_id.has_letter(r["text"])]
+    assert clean and kept.issuperset(clean)
