@@ -8,12 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evpipe.llm import (
+    byte_bpe,
+    collocations,
     decontam,
     lang_id,
     licenses,
     line_dedup,
     mixing,
     near_dedup,
+    spelling,
     sql,
     substring_dedup,
     token_output,
@@ -81,6 +84,18 @@ def substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digest(read(spark, sf_dir, "documents"))
 
 
+def spellings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.vocabulary(read(spark, sf_dir, "documents")))
+
+
+def byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.digest(read(spark, sf_dir, "documents"))
+
+
+def phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -99,11 +114,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": lines,
     "op9_top_k": nearest,
     "op10_substring_dedup": substrings,
+    "op11_spelling_variants": spellings,
+    "op12_byte_bpe": byte_pairs,
+    "op13_collocations": phrases,
     "pipeline": pipeline,
 }
 
-# Learned models, random rounding and a tokenizer can't be told in SQL: those are tested against
-# held-out rows and plain versions.
+# Learned models, random rounding, tokenizers and checksums can't be told in SQL: those are tested
+# against held-out rows and plain versions.
 ORACLES: dict[str, str] = {
     "op2_decontamination": sql.DECONTAMINATION,
     "op5_license_scan": sql.LICENSES,
@@ -111,4 +129,5 @@ ORACLES: dict[str, str] = {
     "op8_line_dedup": sql.LINES,
     "op9_top_k": sql.NEAREST,
     "op10_substring_dedup": sql.SUBSTRINGS,
+    "op13_collocations": sql.COLLOCATIONS,
 }

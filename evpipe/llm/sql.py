@@ -122,3 +122,44 @@ top AS (SELECT doc_id, count(*) FILTER (line > 0) AS n_lines,
   FROM best WHERE rk = 1 GROUP BY doc_id)
 SELECT doc_id, license_id, round(dice, 9) AS dice, coalesce(n_lines, 0) AS n_lines
 FROM documents LEFT JOIN top USING (doc_id)"""
+
+COLLOCATIONS = r"""
+with piece as (
+    select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[.,;:!?\x0A-\x0D]')) as x
+    from documents
+), words as (
+    select lang, regexp_extract_all(x, '[^\x20\x09]+') as w from piece
+), gram as (
+    select lang, k as size, array_to_string(w[i : i + k - 1], ' ') as phrase
+    from words, unnest([1, 2, 3, 4]) as sizes(k), unnest(range(1, len(w) - k + 2)) as places(i)
+), f as (
+    select lang, size, phrase, string_split(phrase, ' ') as w, count(*)::hugeint as a
+    from gram group by all
+), total as (
+    select lang, sum(a)::bigint as n from f where size = 1 group by lang
+), often as (
+    select * from f where a >= 30
+), cut as (
+    select c.lang, c.size, c.phrase, c.a, k, l.a as l, r.a as r, 2000000 * c.a // (l.a + r.a) as score
+    from often c, unnest(range(1, c.size)) as places(k)
+    join often l on l.lang = c.lang and l.phrase = array_to_string(c.w[1 : k], ' ')
+    join often r on r.lang = c.lang and r.phrase = array_to_string(c.w[k + 1 :], ' ')
+), worst as (
+    select * from cut qualify row_number() over (partition by lang, phrase order by score, k) = 1
+), part as (
+    select p.lang, array_to_string(p.w[i : i + k - 1], ' ') as phrase, max(p.a) as a
+    from often p, unnest([2, 3]) as sizes(k), unnest(range(1, p.size - k + 2)) as places(i)
+    where k < p.size group by all
+), kept as (
+    select w.* from worst w left join part p on p.lang = w.lang and p.phrase = w.phrase
+    where p.a is null or 100 * p.a < 80 * w.a
+)
+select * from (
+    select k.lang, row_number() over (
+        partition by k.lang order by k.score desc, k.a desc, k.phrase) as rank,
+        k.phrase, k.a::bigint as a, k.l::bigint as l, k.r::bigint as r, t.n, k.score::bigint as score
+    from kept k join total t on t.lang = k.lang
+) where rank <= 2000
+"""

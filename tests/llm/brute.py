@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections import Counter
 
 SPACE = re.compile(r"[^\x20\x09-\x0D]+")
@@ -110,3 +111,67 @@ def lines(docs, least=8):
         gone = [i for i, w in found if first[w] != (d, i) or w in near]
         out.append((d, len(found), len(gone), sha(",".join(map(str, gone)))))
     return out
+
+
+def one_edit(a, b):
+    """Whether one inserted, deleted or replaced letter leads from one to the other."""
+    if len(a) > len(b):
+        a, b = b, a
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b, strict=True)) == 1
+    return len(b) == len(a) + 1 and any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+
+def occurrences(docs, least_letters=6, least_count=5, every=199):
+    found = Counter()
+    for doc, text in docs:
+        for run in re.findall(r"[A-Za-zÀ-ÿ]+", text or ""):
+            run = run.translate(LOWER)
+            h = zlib.crc32(f"{'' if doc is None else doc}:{run}".encode())
+            if h % every == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            if len(run) >= least_letters:
+                found[run] += 1
+    return {w: n for w, n in found.items() if n >= least_count}
+
+
+def variants(n, ratio=5):
+    near = {w: [v for v in n if v != w and one_edit(v, w)] for w in n}
+    form = {}
+    for w, found in near.items():
+        best = min(((-n[v], v) for v in found), default=(0, None))
+        form[w] = best[1] if best[1] is not None and -best[0] >= ratio * n[w] else None
+
+    def root(w):
+        return w if form[w] is None else root(form[w])
+
+    return [(w, form[w], root(w), n[w], len(near[w]), n.get(form[w])) for w in n]
+
+
+def collocations(docs, top=2000, least=30):
+    """Rows from (lang, text), with Python's whole numbers."""
+    counts = {}
+    for lang, text in docs:
+        own = counts.setdefault("und" if lang is None else lang, (Counter(), Counter()))
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", (text or "").translate(LOWER)):
+            words = re.findall(r"[^\x20\x09]+", piece)
+            own[1][""] += len(words)
+            for k in range(1, 5):
+                for i in range(len(words) - k + 1):
+                    own[0][tuple(words[i : i + k])] += 1
+    out = []
+    for lang, (f, total) in counts.items():
+        often = {p: a for p, a in f.items() if a >= least}
+        gone = {
+            p[i : i + k] for p, a in often.items() for k in range(2, len(p))
+            for i in range(len(p) - k + 1) if 100 * a >= 80 * often[p[i : i + k]]
+        }
+        rows = []
+        for p, a in often.items():
+            if len(p) > 1 and p not in gone:
+                cuts = [(2_000_000 * a // (f[p[:k]] + f[p[k:]]), k) for k in range(1, len(p))]
+                score, k = min(cuts)
+                rows.append((-score, -a, " ".join(p).encode(), f[p[:k]], f[p[k:]]))
+        for rank, (score, a, phrase, left, right) in enumerate(sorted(rows)[:top], 1):
+            out.append((lang, rank, phrase.decode(), -a, left, right, total[""], -score))
+    return out

@@ -8,7 +8,7 @@ from evpipe.llm import lang_id
 
 def test_every_operator_is_registered():
     names = [n for n in driver.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in driver.queries()
 
 
