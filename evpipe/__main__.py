@@ -20,7 +20,7 @@ from evpipe.sources import readers
 from evpipe.streaming.jobs import (
     StreamJob,
     checkpoint_root,
-    start_local_routing,
+    start_local_run,
     start_run,
 )
 
@@ -48,7 +48,7 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     routing(batch)
 
     stream = command("stream", "route a stream until stopped")
-    stream.add_argument("--format", default="kafka", choices=("kafka", "text", "parquet"))
+    stream.add_argument("--format", default="kafka", choices=("kafka", "topic_files", "text", "parquet"))
     stream.add_argument(
         "--option", action="append", default=[], metavar="NAME=VALUE", help="source option"
     )
@@ -81,7 +81,8 @@ def batch_command(spark: SparkSession, args: argparse.Namespace) -> None:
         files.append_events(run.accepted, out, reset=not args.keep)
         files.append_quarantine(run.quarantined, out, reset=not args.keep)
         files.append_alerts(run.alerts, out, reset=not args.keep)
-        files.save_run_metrics(metrics.run_metrics(events, run.alerts), out)
+        buckets = metrics.throughput_buckets(events)
+        files.save_run_metrics(metrics.run_metrics(events, run.alerts), out, buckets)
         files.write_summary(metrics.local_summary(events, run.alerts), f"{out}/summary")
         return
     alerts = tables.alert_rows(run.alerts, alert_details())
@@ -122,7 +123,9 @@ def stream_command(spark: SparkSession, args: argparse.Namespace) -> None:
         topics,
     )
     if args.profile == "local":
-        start_local_routing(raw, job).awaitTermination()
+        start_local_run(spark, raw, job)
+        if not args.once:
+            spark.streams.awaitAnyTermination()
         return
     found = readers.patients_or_none(spark, args.patients)
     dim = None if found is None else patient_metadata(found)

@@ -54,21 +54,41 @@ def alerts_with_cooldown(
     accepted: DataFrame,
     cooldown_ms: int = ALERT_COOLDOWN_MS,
     hot_patients: DataFrame | None | Literal["find"] = "find",
+    carried: DataFrame | None = None,
 ) -> DataFrame:
     """Alerts of accepted events, in arrival order per patient, at most one per cool-down.
 
     Patients with very many events are handled in bounded pieces. They are looked up in
-    `accepted`, unless the caller has found them already (None: there are none).
+    `accepted`, unless the caller has found them already (None: there are none). `carried` is the
+    `patient_state` that earlier events have left; it comes before these events as records of its own,
+    with negative numbers.
     """
     if isinstance(hot_patients, str):
         hot_patients = find_hot_patients(accepted)
     columns = ["patient_id", "arrival_seq", "event_ms", "record_key", *RULE_SIGNALS]
+    alert = None
+    if carried is not None:
+        accepted = accepted.select(*_EVENT_COLUMNS).unionByName(_carried_signals(carried))
+        alert = carried.filter("last_alert_ms is not null").select(
+            "patient_id", F.lit(-1).cast("bigint").alias("arrival_seq"),
+            F.col("last_alert_ms").alias("event_ms"), F.lit(None).cast("string").alias("record_key"),
+            *RULE_SIGNALS,
+        )
+
+    def hits_of(events: DataFrame, hot: str | None = None) -> DataFrame:
+        return rule_hits(events, hot).filter("arrival_seq >= 0")
+
+    def with_carried(hits: DataFrame) -> DataFrame:
+        return hits if alert is None else hits.unionByName(alert)
+
     if hot_patients is None:
-        hits = rule_hits(accepted).select(*columns)
-        found = keep_by_fold(hits, "patient_id", cooldown_ms)
+        hits = hits_of(accepted).select(*columns)
+        found = keep_by_fold(with_carried(hits), "patient_id", cooldown_ms)
     else:
         marked = mark_hot(accepted, hot_patients, "_hot")
-        hits = stage(rule_hits(marked, "_hot").select(*columns, "_hot"), "hits")
+        hits = hits_of(marked, "_hot").select(*columns)
+        # The carried alert counts as the first hit, also of a hot patient.
+        hits = stage(mark_hot(with_carried(hits), hot_patients, "_hot"), "hits")
         few = hits.filter(~F.col("_hot")).drop("_hot")
         many = hits.filter("_hot").drop("_hot")
         span = many.agg(F.max("event_ms") - F.min("event_ms")).first()[0] or 0
@@ -76,7 +96,7 @@ def alerts_with_cooldown(
         found = keep_by_fold(few, "patient_id", cooldown_ms).unionByName(
             many.join(kept, ["patient_id", "arrival_seq"], "left_semi")
         )
-    return found.select(
+    return found.filter("arrival_seq >= 0").select(
         "patient_id",
         F.lit(ALERT_TYPE).alias("alert_type"),
         F.col("event_ms").alias("alert_time_ms"),
@@ -84,3 +104,41 @@ def alerts_with_cooldown(
         "arrival_seq",
         *RULE_SIGNALS,
     )
+
+
+_EVENT_COLUMNS = ["patient_id", "arrival_seq", "event_ms", "record_key", "signal", "signal_value"]
+
+
+def _carried_signals(carried: DataFrame) -> DataFrame:
+    """The last signal values as records that come before all others."""
+    values = [
+        F.struct(
+            F.lit(-2 - i).cast("bigint").alias("arrival_seq"), F.lit(n).alias("signal"),
+            F.col(n).alias("signal_value"),
+        )
+        for i, n in enumerate(RULE_SIGNALS)
+    ]
+    rows = carried.select("patient_id", F.inline(F.array(*values)))
+    return rows.filter("signal_value is not null").select(
+        "patient_id", "arrival_seq", F.lit(None).cast("bigint").alias("event_ms"),
+        F.lit(None).cast("string").alias("record_key"), "signal", "signal_value",
+    )
+
+
+def patient_state(
+    accepted: DataFrame, alerts: DataFrame, carried: DataFrame | None = None
+) -> DataFrame:
+    """What later alerts of the patients of these events depend on: `patient_id`, the last value of
+    each signal of the rule, and `last_alert_ms`. Aggregates only, so a hot patient is no hot group."""
+    events = accepted.select(*_EVENT_COLUMNS)
+    raised = alerts.select("patient_id", F.col("alert_time_ms").alias("last_alert_ms"))
+    if carried is not None:
+        events = events.unionByName(_carried_signals(carried))
+        raised = raised.unionByName(carried.select("patient_id", "last_alert_ms"))
+    last = [
+        F.max_by("signal_value", F.when(F.col("signal") == n, F.col("arrival_seq"))).alias(n)
+        for n in RULE_SIGNALS
+    ]
+    values = events.groupBy("patient_id").agg(*last)
+    times = raised.groupBy("patient_id").agg(F.max("last_alert_ms").alias("last_alert_ms"))
+    return values.join(times, "patient_id", "left")

@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evpipe.operators.skew import left_join_hot
+from evpipe.operators.skew import SALTS, left_join_hot
 from evpipe.schema import LOOKUP_FAILED_JSON
 
+# Leads the join keys of records that look up nothing: a noncharacter, so no patient is named so.
+NOBODY = "\ufdd0"
+
 
 def patient_metadata(dim: DataFrame) -> DataFrame:
     """`patient_id` and all other columns as a string map."""
@@ -36,9 +39,12 @@ def enrich(
         text = F.when(ok, F.lit(LOOKUP_FAILED_JSON)).otherwise(F.lit("{}"))
         return events.withColumn("patient_metadata", text)
     lookup = dim.select("patient_id", F.to_json("metadata").alias("_json"))
-    # Records that are not accepted have nothing to look up and stay out of the exchange's keys.
+    # Records that are not accepted, and those without a patient, have nothing to look up. A null key
+    # would send all of them to one task, so they get keys of their own that no patient has.
     asked = events.withColumn("_patient", F.col("patient_id"))
-    events = asked.withColumn("patient_id", F.when(ok, F.col("patient_id")))
+    nobody = F.concat(F.lit(NOBODY), F.pmod(F.xxhash64("arrival_seq"), F.lit(SALTS)).cast("string"))
+    key = F.when(ok & F.col("patient_id").isNotNull(), F.col("patient_id")).otherwise(nobody)
+    events = asked.withColumn("patient_id", key)
     if hot_patients is not None:
         hot = lookup.join(F.broadcast(hot_patients), "patient_id", "left_semi")
         found = left_join_hot(events, lookup, "patient_id", hot, F.col("arrival_seq"))

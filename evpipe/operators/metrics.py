@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from evpipe.functions.numeric import accepted_percent, number_or_zero, share_of_max
 from evpipe.functions.text import preview
 from evpipe.operators.percentiles import latency_summary, nearest_rank, values_at_ranks
-from evpipe.operators.prefix import running_max
+from evpipe.operators.prefix import dense_positions, running_max
 from evpipe.schema import (
     ALERT_TYPE,
     SUMMARY_EVENT_TYPES,
@@ -133,9 +133,12 @@ def throughput_buckets(events: DataFrame, size: int = THROUGHPUT_BUCKET) -> Data
     """Records per second of each `size` consecutive arrivals, and of the rest at the end.
 
     A bucket lasts from the end of the one before (the first: from the first ingest) to its own,
-    where an end is the largest ingest time so far. Arrivals are numbered from 0 without gaps.
+    where an end is the largest ingest time so far. `arrival_seq` is unique and may have gaps: a
+    bucket is `size` arrivals whatever their numbers.
     """
-    buckets = events.groupBy(F.expr(f"arrival_seq div {size}").alias("bucket")).agg(
+    narrow = events.select("arrival_seq", "processed_ms")
+    placed = dense_positions(narrow, "arrival_seq", "_position")
+    buckets = placed.groupBy(F.expr(f"_position div {size}").alias("bucket")).agg(
         F.count(F.lit(1)).alias("n"),
         F.max("processed_ms").alias("_end"),
     )
@@ -205,13 +208,16 @@ def build_summary(
 def run_metrics(routed: DataFrame, alerts: DataFrame, size: int = THROUGHPUT_BUCKET) -> DataFrame:
     """All counters of a local-profile run in one row, latencies of accepted records included.
 
-    `throughput_buckets` lists the records per second of each `size` arrivals, in order.
+    The records per second of each `size` arrivals are a table of their own (`throughput_buckets`):
+    there is one for every `size` records, so the row holds only how many there are, and the least,
+    mean and largest rate.
     """
+    rate = F.col("events_per_sec")
     buckets = throughput_buckets(routed, size).agg(
-        F.transform(
-            F.array_sort(F.collect_list(F.struct("bucket", "events_per_sec"))),
-            lambda b: b["events_per_sec"],
-        ).alias("throughput_buckets")
+        F.struct(
+            F.count(F.lit(1)).alias("buckets"), F.min(rate).alias("min_eps"),
+            F.avg(rate).alias("mean_eps"), F.max(rate).alias("max_eps"),
+        ).alias("bucket_throughput")
     )
     accepted = routed.filter("accepted")
     percentiles = values_at_ranks(

@@ -53,6 +53,44 @@ def max_before_chunk(
     )
 
 
+def sum_before_chunk(
+    per_chunk: DataFrame, value: str, out: str, block: int = BLOCK, levels: int = LEVELS
+) -> DataFrame:
+    """Sum of `value` over all earlier chunks, from a table of one row per `_chunk`."""
+    if levels == 0:
+        before = F.sum(value).over(_before([], "_chunk"))
+        return per_chunk.select("_chunk", F.coalesce(before, F.lit(0)).alias(out))
+    chunks = per_chunk.withColumn("_block", F.expr(f"_chunk div {block}"))
+    blocks = chunks.groupBy(F.col("_block").alias("_chunk")).agg(F.sum(value).alias("_block_sum"))
+    earlier = sum_before_chunk(blocks, "_block_sum", "_from_blocks", block, levels - 1)
+    in_block = F.coalesce(F.sum(value).over(_before(["_block"], "_chunk")), F.lit(0))
+    return (
+        chunks.withColumn("_in_block", in_block)
+        .join(earlier.withColumnRenamed("_chunk", "_block"), "_block")
+        .select("_chunk", (F.col("_from_blocks") + F.col("_in_block")).alias(out))
+    )
+
+
+def dense_positions(
+    df: DataFrame, seq: str, out: str, chunk: int = CHUNK, block: int = BLOCK
+) -> DataFrame:
+    """Add the number of rows with a smaller `seq`: 0, 1, 2 and so on without gaps.
+
+    `seq` is unique and not negative but may have gaps, as offsets and numbers given out by tasks do.
+    Rows are counted by chunk, the counts summed up over the chunks before, and each chunk numbers its
+    own rows from there.
+    """
+    chunked = df.withColumn("_chunk", F.expr(f"{seq} div {chunk}"))
+    per_chunk = chunked.groupBy("_chunk").agg(F.count(F.lit(1)).alias("_rows"))
+    before = sum_before_chunk(per_chunk, "_rows", "_earlier", block)
+    place = F.row_number().over(Window.partitionBy("_chunk").orderBy(seq)) - 1
+    return (
+        chunked.withColumn("_place", place)
+        .join(before, "_chunk")
+        .select(*df.columns, (F.col("_earlier") + F.col("_place")).cast("bigint").alias(out))
+    )
+
+
 def running_max(
     df: DataFrame,
     seq: str,

@@ -26,7 +26,8 @@ def mark_duplicates(
 
     Only `ok` arrivals can be accepted, and the first of them is; so one minimum per key decides.
     Keys that occur once need no lookup and do not enter the join. `events` is read twice, so it
-    should be a stored table. `seen` holds keys that were accepted before these events arrived.
+    should be a stored table. `seen` holds keys that were accepted before these events arrived; it
+    may be large, only those that occur among `events` are looked at.
     `arrival_seq` must be unique.
     """
     seq = F.col("arrival_seq")
@@ -35,7 +36,9 @@ def mark_duplicates(
     )
     decided = (F.col("n_rows") > 1) & F.col("accepted_seq").isNotNull()
     if seen is not None:
-        before = seen.select(key).distinct().withColumn("_seen", F.lit(True))
+        # The keys of the events are the small side, which Spark broadcasts when it may.
+        asked = seen.select(key).join(per_key.select(key), key, "left_semi")
+        before = asked.distinct().withColumn("_seen", F.lit(True))
         first = F.when(F.col("_seen"), F.lit(-(1 << 62)).cast("bigint")).otherwise(F.col("accepted_seq"))
         per_key = per_key.join(before, key, "left").withColumn("accepted_seq", first)
         decided = decided | F.col("_seen").isNotNull()
@@ -54,7 +57,11 @@ def mark_duplicates(
 
 
 def _flagged(events: DataFrame, profile: str, lateness_sec: int, hot_rows: int, **before):
-    timed = running_max_event_time(events, profile)
+    if before.get("fixed"):
+        # Within a micro-batch the watermark stands still: only earlier ones have moved it.
+        timed = events.withColumn("max_event_ms", F.lit(None).cast("bigint"))
+    else:
+        timed = running_max_event_time(events, profile)
     if before.get("max_event_ms") is not None:
         carried = F.lit(before["max_event_ms"]).cast("bigint")
         timed = timed.withColumn("max_event_ms", F.greatest("max_event_ms", carried))
@@ -66,7 +73,7 @@ def _flagged(events: DataFrame, profile: str, lateness_sec: int, hot_rows: int,
         }
     ).withColumn("ok", F.col("valid") & ~F.col("late"))
     if profile == "stream":
-        return mark_duplicates(flagged, "record_key", "ok", hot_rows)
+        return mark_duplicates(flagged, "record_key", "ok", hot_rows, before.get("seen"))
     # The local profile compares the ids of valid events as they are; a null id is one too.
     local_id = F.coalesce("event_id", F.lit("None"))
     keyed = flagged.withColumn("_id", F.when(F.col("valid"), local_id).otherwise(F.col("raw_hash")))
@@ -84,7 +91,27 @@ def route_stream(
 
     A duplicate is reported next to other errors, a late event only if nothing else is wrong.
     """
-    flagged = _flagged(events, "stream", lateness_sec, hot_rows)
+    return _stream_outcome(_flagged(events, "stream", lateness_sec, hot_rows))
+
+
+def route_micro_batch(
+    events: DataFrame,
+    lateness_sec: int = DEFAULT_LATENESS_SEC,
+    max_event_ms: int | None = None,
+    seen: DataFrame | None = None,
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """The stream profile for one micro-batch, where earlier ones left off.
+
+    `max_event_ms` is the largest event time (or ingest time, where a record has none) of all earlier
+    micro-batches; lateness compares with the watermark that follows from it, which does not move
+    within a micro-batch. `seen` holds `record_key`s that earlier ones accepted.
+    """
+    before = {"max_event_ms": max_event_ms, "seen": seen, "fixed": True}
+    return _stream_outcome(_flagged(events, "stream", lateness_sec, hot_rows, **before))
+
+
+def _stream_outcome(flagged: DataFrame) -> DataFrame:
     late_only = F.col("valid") & ~F.col("duplicate") & F.col("late")
     extra = (
         F.when(F.col("duplicate"), F.array(F.lit(DUPLICATE)))

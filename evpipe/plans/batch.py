@@ -16,6 +16,7 @@ from evpipe.operators.skew import find_hot_patients
 from evpipe.operators.validate import validate
 from evpipe.plans.staging import stage
 from evpipe.schema import ALERT_COOLDOWN_MS, DEFAULT_LATENESS_SEC
+from evpipe.sources.readers import spread
 
 # What routing, alerts and counts need; record and payload text stay out unless asked for.
 CORE_COLUMNS = (
@@ -39,7 +40,7 @@ def checked_events(
     raw: DataFrame, profile: str = "stream", extra: Sequence[str] = ()
 ) -> DataFrame:
     """Parse and validate raw records once, into a staged table."""
-    events = validate(parse_events(raw, profile), profile)
+    events = validate(parse_events(spread(raw), profile), profile)
     return stage(events.select(*CORE_COLUMNS, *extra), f"checked-{profile}")
 
 

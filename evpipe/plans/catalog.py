@@ -61,15 +61,8 @@ from evpipe.schema import (
 from evpipe.session import tune
 from evpipe.sinks import files, tables
 from evpipe.sources.fixtures import patients, raw_events
-from evpipe.sources.readers import read_patient_dim, read_raw_batch, read_raw_stream
+from evpipe.sources.readers import read_patient_dim, read_raw_batch, spread
 from evpipe.sources.readers import read_run_summaries as read_summaries
-from evpipe.streaming.jobs import (
-    StreamJob,
-    start_alerts,
-    start_fanout,
-    start_local_routing,
-    start_routing,
-)
 
 Query = Callable[[SparkSession, str], DataFrame]
 LATENESS_SEC = LATENESS_MS // 1000
@@ -99,7 +92,7 @@ def query(sql: str | None = None, name: str | None = None):
 
 
 def _parsed(spark, sf, profile="stream"):
-    return parse_events(raw_events(spark, sf), profile)
+    return parse_events(spread(raw_events(spark, sf)), profile)
 
 
 def _checked(spark, sf, profile="stream", extra=()):
@@ -210,6 +203,30 @@ def _stored_events(spark, sf):
     return tables.read_table(spark, root, tables.EVENTS_BY_ID)
 
 
+# Parts of the tables that are written batch by batch: more than two levels hold.
+WRITES = 11
+
+
+def _write_in_parts(spark, sf, root):
+    """events_by_id in many writes, so that levels are merged; each write repeats the one before."""
+    accepted = stage(
+        _accepted(spark, sf, extra=TEXT_COLUMNS).withColumn("patient_metadata", F.lit("{}")),
+        "accepted",
+    )
+    turn = F.col("arrival_seq") % WRITES
+    for i in range(WRITES):
+        own = accepted.filter(turn.isin(i, i - 1))
+        tables.upsert_events_by_id(own, root, i)
+
+
+@query(over("stored", "SELECT event_id, patient_id, event_type, source FROM stored"))
+def upsert_in_levels(spark, sf):
+    root = new_path(spark, "tables")
+    _write_in_parts(spark, sf, root)
+    stored = tables.read_table(spark, root, tables.EVENTS_BY_ID)
+    return stored.select("event_id", "patient_id", "event_type", "source")
+
+
 def _stored_by_type(spark, sf):
     root = new_path(spark, "tables")
     tables.upsert_events_by_type(_accepted(spark, sf), root, 0)
@@ -1068,6 +1085,23 @@ def throughput_buckets(spark, sf):
     return met.throughput_buckets(raw_events(spark, sf))
 
 
+@query(
+    over(
+        "event_view",
+        "SELECT arrival_seq // 1000 AS bucket, count(*) AS n FROM event_view GROUP BY 1",
+    )
+)
+def text_batch_buckets(spark, sf):
+    """Buckets of the lines of several text files, whose numbers have gaps, read back as a table."""
+    root = new_path(spark, "lines")
+    raw_events(spark, sf).select("raw").repartition(3).write.text(f"{root}/in")
+    events = route(checked_events(read_raw_batch(spark, f"{root}/in"), "local"), "local", LATENESS_SEC)
+    metrics = met.run_metrics(_with_latency(events), events.filter("false"))
+    files.save_run_metrics(metrics, root, met.throughput_buckets(events))
+    stored = spark.read.schema("bucket bigint, n bigint, events_per_sec double")
+    return stored.json(f"{root}/run_metrics_buckets").select("bucket", "n")
+
+
 # --- runs and summaries ----------------------------------------------------------------------
 
 
@@ -1297,9 +1331,12 @@ def quarantine_samples(spark, sf):
     )
 )
 def get_event(spark, sf):
-    events = stage(_stored_events(spark, sf), "events")
-    wanted = events.agg(F.max("event_id")).first()[0]
-    return reads.get_event(events, wanted).select("event_id", "patient_id", "event_type")
+    root = new_path(spark, "tables")
+    _write_in_parts(spark, sf, root)
+    stored = tables.read_table(spark, root, tables.EVENTS_BY_ID)
+    wanted = stored.agg(F.max("event_id")).first()[0]
+    found = tables.read_key(spark, root, tables.EVENTS_BY_ID, wanted)
+    return reads.get_event(found, wanted).select("event_id", "patient_id", "event_type")
 
 
 @query(
@@ -1463,7 +1500,7 @@ def save_run_metrics(spark, sf):
     hot = find_hot_patients(events)
     alerts = alerts_with_cooldown(events.filter("accepted"), COOLDOWN_MS, hot)
     root = new_path(spark, "local")
-    files.save_run_metrics(met.run_metrics(events, alerts), root)
+    files.save_run_metrics(met.run_metrics(events, alerts), root, met.throughput_buckets(events))
     stored = spark.read.schema("total bigint, accepted bigint, alerts bigint")
     return stored.json(f"{root}/run_metrics")
 
@@ -1503,58 +1540,3 @@ def read_run_summaries(spark, sf):
     _day_summaries(spark, sf).write.partitionBy("run").json(path)
     found = read_summaries(spark, path, "*/*.json")
     return found.select("run", F.col("producer.sent").alias("events_sent"))
-
-
-# --- streams ---------------------------------------------------------------------------------
-
-
-def _stream_job(spark, sf):
-    """All events as one file drop, and a job that reads what is there and ends."""
-    root = new_path(spark, "stream")
-    raw_events(spark, sf).select("arrival_seq", "raw", "processed_ms").write.parquet(f"{root}/in")
-    job = StreamJob(
-        f"{root}/out", f"{root}/checkpoints", LATENESS_SEC, COOLDOWN_MS, {"availableNow": True}
-    )
-    return job, read_raw_stream(spark, "parquet", {"path": f"{root}/in"})
-
-
-@query(over("routed_nolate", "SELECT arrival_seq, accepted, reason FROM routed_nolate"))
-def stream_route(spark, sf):
-    job, raw = _stream_job(spark, sf)
-    start_routing(raw, job).awaitTermination()
-    return spark.read.parquet(job.routed_path).select("arrival_seq", "accepted", "reason")
-
-
-@query(
-    over(
-        "alerts_nolate",
-        "SELECT patient_id, event_time_ms AS alert_ms, alert_type FROM alerts_nolate",
-    )
-)
-def stream_alerts(spark, sf):
-    job, raw = _stream_job(spark, sf)
-
-    start_routing(raw, job).awaitTermination()
-    start_alerts(spark, job).awaitTermination()
-    stored = tables.read_table(spark, job.root, tables.ALERTS_BY_PATIENT)
-    return stored.select(
-        "patient_id", F.unix_millis("alert_time").alias("alert_ms"), "alert_type"
-    )
-
-
-@query(over("routed_nolate", "SELECT event_id, event_type FROM routed_nolate WHERE accepted"))
-def run_fanout(spark, sf):
-    job, raw = _stream_job(spark, sf)
-    dim = patient_metadata(patients(spark, sf))
-
-    start_routing(raw, job).awaitTermination()
-    start_fanout(spark, dim, job).awaitTermination()
-    return tables.read_table(spark, job.root, tables.EVENTS_BY_ID).select("event_id", "event_type")
-
-
-@query(over("routed_local", "SELECT arrival_seq, accepted, reason FROM routed_local"))
-def stream_route_local(spark, sf):
-    job, raw = _stream_job(spark, sf)
-    start_local_routing(raw, job).awaitTermination()
-    routed = spark.read.parquet(f"{job.root}/local_routed")
-    return routed.select("arrival_seq", "accepted", "reason")

@@ -11,6 +11,22 @@ COOLDOWN_MS = 86_400_000
 _STR = "json_extract_string(payload, '$.{}')"
 _NUM = "TRY_CAST(json_extract_string(payload, '$.{}') AS DOUBLE)"
 
+_ALERT_PROFILES = ("stream", "local", "nolate", "batches")
+# File drops of the streams of several micro-batches, in order of arrival.
+DROPS = 4
+# A record comes with the drop of its place in the order of arrival; every 17th comes a drop later.
+STRAGGLER = "arrival_seq % 17 = 3"
+_DROP = "least(%d, CAST(%s AS INT) + %s)" % (
+    DROPS - 1,
+    STRAGGLER,
+    " + ".join(
+        f"CAST(arrival_seq >= (SELECT count(*) FROM event_view) * {i} // {DROPS} AS INT)"
+        for i in range(1, DROPS)
+    ),
+)
+# Numbers of the records of a drop follow those of the drops before.
+DROP_NUMBERS = 1_000_000_000_000
+
 _VIEWS: dict[str, str] = {
     "event_view": event_view_sql("duckdb"),
     "raw_events": raw_text_sql("duckdb"),
@@ -114,6 +130,21 @@ _VIEWS: dict[str, str] = {
             THEN arrival_seq END) OVER (PARTITION BY event_id), false)
           THEN list_append(errors, 'duplicate_event_id') ELSE errors END AS errs
         FROM checked_stream)""",
+    # Several micro-batches: the watermark follows from those before, and stands still in each.
+    "timed_batches": f"""
+        SELECT *, max(CASE WHEN event_time_ms > 0 THEN event_time_ms ELSE processed_ms END) OVER
+          (ORDER BY b RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS max_event_ms,
+          len(errors) = 0 AS valid
+        FROM (SELECT * REPLACE (b * {DROP_NUMBERS} + arrival_seq AS arrival_seq)
+          FROM (SELECT *, {_DROP} AS b FROM checked_stream))""",
+    # A topic of three partitions with offsets of their own, merged by broker time.
+    "event_view_topic": """
+        SELECT * REPLACE (row_number() OVER (ORDER BY broker_ms, part, place) AS arrival_seq)
+        FROM (SELECT *, max(processed_ms) OVER
+            (PARTITION BY part ORDER BY place ROWS UNBOUNDED PRECEDING) AS broker_ms
+          FROM (SELECT *, arrival_seq % 3 AS part,
+            (arrival_seq // 3 + arrival_seq % 3 * 1000000) * 65536 + arrival_seq % 3 AS place
+            FROM event_view))""",
     "routed_local": """
         SELECT *, reason = 'accepted' AS accepted FROM (SELECT *, CASE
           WHEN NOT valid THEN array_to_string(errors, '|') WHEN duplicate THEN 'duplicate_event_id'
@@ -131,7 +162,7 @@ _VIEWS: dict[str, str] = {
             )
         )
         + f" FROM routed_{p} WHERE accepted"
-        for p in ("stream", "local", "nolate")
+        for p in _ALERT_PROFILES
     },
     **{
         f"hits_{p}": f"""
@@ -141,7 +172,7 @@ _VIEWS: dict[str, str] = {
           row_number() OVER (PARTITION BY patient_id ORDER BY arrival_seq) AS i
         FROM state_{p} WHERE coalesce(heart_rate, 0) >= 110 AND coalesce(temperature_c, 0) >= 38
           AND (coalesce(wbc, 0) >= 12 OR coalesce(lactate, 0) >= 2.2)"""
-        for p in ("stream", "local", "nolate")
+        for p in _ALERT_PROFILES
     },
     **{
         f"folded_{p}": f"""
@@ -151,13 +182,13 @@ _VIEWS: dict[str, str] = {
           CASE WHEN h.event_time_ms - f.last < {COOLDOWN_MS} THEN f.last ELSE h.event_time_ms END,
           h.event_time_ms - f.last >= {COOLDOWN_MS}
         FROM folded_{p} f JOIN hits_{p} h ON h.patient_id = f.patient_id AND h.i = f.i + 1"""
-        for p in ("stream", "local", "nolate")
+        for p in _ALERT_PROFILES
     },
     **{
         f"alerts_{p}": f"""
         SELECT h.*, '{ALERT_TYPE}' AS alert_type FROM hits_{p} h JOIN folded_{p} f
           ON h.patient_id = f.patient_id AND h.i = f.i AND f.fired"""
-        for p in ("stream", "local", "nolate")
+        for p in _ALERT_PROFILES
     },
     "stored": """
         SELECT event_id, patient_id, event_type, event_time_ms, source, payload,
@@ -196,6 +227,16 @@ _VIEWS: dict[str, str] = {
         GROUP BY run""",
 }
 
+for _step in ("flagged", "keyed", "routed"):
+    _VIEWS[f"{_step}_batches"] = _VIEWS[f"{_step}_stream"].replace("_stream", "_batches")
+_TOPIC = ("fields", "checked_stream", "checked_local", "timed_local", "flagged_local", "keyed_local",
+          "routed_local", "routed_nolate")
+for _name in _TOPIC:
+    _text = _VIEWS[_name]
+    for _other in ("event_view", *_TOPIC):
+        _text = _text.replace(f"FROM {_other}", f"FROM {_other}_topic")
+    _VIEWS[f"{_name}_topic"] = _text
+
 _NEEDS = {
     "raw_events": ["event_view"],
     "fields": ["event_view"],
@@ -208,7 +249,7 @@ _NEEDS = {
     "day_alerts": ["alerts_stream", "routed_stream"],
     "day_texts": ["routed_stream"],
 }
-for _p in ("stream", "local", "nolate"):
+for _p in _ALERT_PROFILES:
     _NEEDS.update(
         {
             f"timed_{_p}": [f"checked_{_p}"],
@@ -223,6 +264,10 @@ for _p in ("stream", "local", "nolate"):
     )
 
 _NEEDS["routed_nolate"] = ["checked_stream"]
+_NEEDS["timed_batches"] = ["checked_stream"]
+_NEEDS["event_view_topic"] = ["event_view"]
+for _name in _TOPIC:
+    _NEEDS[f"{_name}_topic"] = [f"{needed}_topic" for needed in _NEEDS[_name]]
 
 SUMMARY_TYPES_SQL = ", ".join(f"'{t}'" for t in SUMMARY_EVENT_TYPES)
 SUMMARY_REASONS_SQL = ", ".join(f"'{r}'" for r in SUMMARY_REASONS)

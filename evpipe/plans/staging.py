@@ -35,6 +35,41 @@ def remove_path(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def _store(spark: SparkSession, path: str):
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    folder, store = _store(spark, path)
+    return store.exists(folder)
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder, none when there is no such folder."""
+    folder, store = _store(spark, path)
+    if not store.exists(folder):
+        return []
+    return [status.getPath().getName() for status in store.listStatus(folder)]
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    folder, store = _store(spark, path)
+    store.mkdirs(folder)
+
+
+def publish(spark: SparkSession, written: str, path: str) -> None:
+    """Move a finished folder to where readers look, in place of what lies there.
+
+    One rename, so readers see all of it or nothing wherever the store renames folders at once.
+    """
+    remove_path(spark, path)
+    folder, store = _store(spark, path)
+    store.mkdirs(folder.getParent())
+    if not store.rename(_store(spark, written)[0], folder):
+        raise OSError(f"{written} could not be moved to {path}")
+
+
 def remove_staged(spark: SparkSession) -> None:
     """Remove what this application has staged, at the end of a run."""
     remove_path(spark, staging_root(spark))

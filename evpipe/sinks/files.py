@@ -88,10 +88,23 @@ def _mode(reset: bool) -> str:
 
 def append_quarantine(quarantined: DataFrame, root: str, reset: bool = False) -> None:
     """Reason and record, as a table and as JSON lines with sorted keys."""
+    _write_quarantine(quarantined, f"{root}/quarantine", f"{root}/quarantine_jsonl", _mode(reset))
+
+
+def replace_quarantine(quarantined: DataFrame, table: str, lines: str) -> None:
+    """The same as one part of a table and one of the lines, which are replaced."""
+    _write_quarantine(quarantined, table, lines, "overwrite")
+
+
+def replace_events(events: DataFrame, path: str) -> None:
+    events.write.mode("overwrite").parquet(path)
+
+
+def _write_quarantine(quarantined: DataFrame, table: str, lines: str, mode: str) -> None:
     # A text that is no JSON is kept as a JSON string.
     event = F.coalesce(canonical_json(F.col("raw")), quoted(F.col("raw")))
     rows = quarantined.select("reason", event.alias("event_json"), "arrival_seq")
-    rows.write.mode(_mode(reset)).parquet(f"{root}/quarantine")
+    rows.write.mode(mode).parquet(table)
     line = F.concat(
         F.lit('{"event": '),
         F.col("event_json"),
@@ -99,7 +112,7 @@ def append_quarantine(quarantined: DataFrame, root: str, reset: bool = False) ->
         quoted(F.col("reason")),
         F.lit("}"),
     )
-    rows.select(line.alias("value")).write.mode(_mode(reset)).text(f"{root}/quarantine_jsonl")
+    rows.select(line.alias("value")).write.mode(mode).text(lines)
 
 
 def append_alerts(alerts: DataFrame, root: str, reset: bool = False) -> None:
@@ -121,9 +134,11 @@ def stored_ids(spark: SparkSession, root: str) -> DataFrame | None:
     return events.select(F.coalesce("event_id", F.lit("None")).alias("event_id")).distinct()
 
 
-def save_run_metrics(metrics: DataFrame, root: str) -> None:
-    """Replace the single stored metrics row."""
+def save_run_metrics(metrics: DataFrame, root: str, buckets: DataFrame | None = None) -> None:
+    """Replace the single stored metrics row, and the table of throughput buckets."""
     metrics.write.mode("overwrite").json(f"{root}/run_metrics")
+    if buckets is not None:
+        buckets.write.mode("overwrite").json(f"{root}/run_metrics_buckets")
 
 
 def write_summary(summary: DataFrame, path: str) -> None:

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evpipe.operators.enrich import patient_metadata
+from evpipe.operators.prefix import running_max
 from evpipe.schema import EXPERIMENT_SCHEMA, PRODUCER_SCHEMA, RAW_SCHEMA, SUMMARY_SCHEMA
 
 
@@ -14,31 +15,54 @@ def _now_ms():
     return F.unix_millis(F.current_timestamp())
 
 
+# What a stored topic keeps of a message.
+TOPIC_SCHEMA = "value binary, partition int, offset bigint, timestamp timestamp"
+
+
+def topic_records(messages: DataFrame) -> DataFrame:
+    """(arrival_seq, raw, processed_ms, partition, offset) of the messages of a topic.
+
+    The sequence number is the offset with the partition behind it: unique over all partitions (up
+    to 2^16 of them) and rising within each. It names a message; it does not order messages of
+    different partitions, whose offsets don't compare. `by_broker_time` does.
+    """
+    place = F.shiftleft("offset", 16).bitwiseOR(F.col("partition").cast("bigint"))
+    return messages.select(
+        place.alias("arrival_seq"),
+        F.col("value").cast("string").alias("raw"),
+        F.unix_millis("timestamp").alias("processed_ms"),
+        "partition",
+        "offset",
+    )
+
+
+def by_broker_time(records: DataFrame) -> DataFrame:
+    """Topic records with `broker_ms`, by which partitions are merged: the largest broker time of the
+    partition up to the record. (broker_ms, partition, offset) keeps the order of each partition
+    even where its clock went back."""
+    return running_max(records, "offset", "processed_ms", "broker_ms", ["partition"])
+
+
 def read_raw_stream(spark: SparkSession, fmt: str, options: dict[str, str]) -> DataFrame:
     """Raw records as a stream of (arrival_seq, raw, processed_ms).
 
-    `kafka` starts at the earliest offset; `parquet` files hold these columns; `text` files hold
-    one record per line. For Kafka the sequence number is the offset with the partition behind it:
-    unique over all partitions (up to 2^16 of them) and rising within each, so it orders the
-    records of one message key as the broker does. Lines of text that come in one micro-batch
-    have one number in common; `number_arrivals` tells them apart.
+    `kafka` starts at the earliest offset, `topic_files` are Parquet files of stored messages
+    (TOPIC_SCHEMA); both have `partition` and `offset` too. `parquet` files hold the three columns;
+    `text` files hold one record per line; lines that come in one micro-batch have one number in
+    common, and `unnumbered` says so.
     """
+    if fmt == "topic_files":
+        files = spark.readStream.format("parquet").schema(TOPIC_SCHEMA).options(**options)
+        return topic_records(files.load())
     reader = spark.readStream.format(fmt)
     if fmt == "kafka":
-        rows = reader.option("startingOffsets", "earliest").options(**options).load()
-        ingest = F.unix_millis("timestamp")
-        return rows.select(
-            F.shiftleft("offset", 16).bitwiseOR(F.col("partition").cast("bigint")).alias(
-                "arrival_seq"
-            ),
-            F.col("value").cast("string").alias("raw"),
-            ingest.alias("processed_ms"),
-        )
+        return topic_records(reader.option("startingOffsets", "earliest").options(**options).load())
     if fmt == "parquet":
         return reader.schema(RAW_SCHEMA).options(**options).load()
     lines = reader.options(**options).load()
     return lines.select(
-        _now_ms().alias("arrival_seq"), F.col("value").alias("raw"), _now_ms().alias("processed_ms")
+        _now_ms().alias("arrival_seq"), F.col("value").alias("raw"), _now_ms().alias("processed_ms"),
+        F.lit(True).alias("unnumbered"),
     )
 
 
@@ -68,6 +92,13 @@ def number_arrivals(rows: DataFrame, *order: str) -> DataFrame:
     return rows.orderBy(*order).withColumn("arrival_seq", F.monotonically_increasing_id())
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """`rows` dealt over all cores when they come in fewer splits, as one small file does. Reading
+    records is what costs, so that is worth sending their text once; a large input is left alone."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
+
+
 def read_patient_dim(spark: SparkSession, path: str) -> DataFrame:
     """Patient attributes as (patient_id, metadata map)."""
     return patient_metadata(spark.read.parquet(path))

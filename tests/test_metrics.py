@@ -8,6 +8,7 @@ from evpipe.functions.numeric import number_or_zero, value_or_zero
 from evpipe.operators import experiments as exp
 from evpipe.operators import metrics as met
 from evpipe.operators import percentiles as pct
+from evpipe.operators.prefix import dense_positions
 
 
 @pytest.mark.parametrize("kind", ["ints", "floats", "same", "negative", "one"])
@@ -70,3 +71,12 @@ def test_buckets_include_the_rest(spark):
     got = met.throughput_buckets(df, 10).orderBy("bucket").collect()
     assert [r["n"] for r in got] == [10, 10, 5]
     assert [round(r["seconds"], 6) for r in got] == [0.09, 0.1, 0.05]
+
+
+def test_buckets_of_numbers_with_gaps(spark):
+    rows = [((i % 3 << 33) + i, 1000 + i) for i in range(250)]
+    df = spark.createDataFrame(rows, "arrival_seq bigint, processed_ms bigint")
+    got = met.throughput_buckets(df, 100).orderBy("bucket").collect()
+    assert [(r["bucket"], r["n"]) for r in got] == [(0, 100), (1, 100), (2, 50)]
+    order = {r["arrival_seq"]: r["p"] for r in dense_positions(df, "arrival_seq", "p", 7, 2).collect()}
+    assert [order[s] for s in sorted(order)] == list(range(250))

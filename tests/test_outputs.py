@@ -167,3 +167,58 @@ def test_table_without_rows(spark, tmp_path):
         tables.upsert(nothing, root, spec, tables.begin_run(spark, root, spec, False))
         assert tables.read_table(spark, root, spec).count() == 0
         assert tables.next_batch_id(spark, root, spec) == 1
+
+
+def _ids(spark, pairs):
+    schema = "event_id string, patient_id string, event_type string, event_time timestamp, source string, " \
+        "payload string, patient_metadata string, ingestion_latency_ms double, raw_event string, " \
+        "processed_at timestamp"
+    rows = [(k, v, "lab", None, "s", "{}", "{}", 1.0, "r", None) for k, v in pairs]
+    return spark.createDataFrame(rows, schema).repartition(3)
+
+
+def test_levels_keep_the_latest_and_few_parts(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "FANOUT", 3)
+    root, spec, want = str(tmp_path), tables.EVENTS_BY_ID, {}
+    for batch in range(14):
+        pairs = [(f"k{(batch * 7 + i) % 40:03d}", f"b{batch}") for i in range(12)]
+        want.update(pairs)
+        for _ in range(2):  # a replay changes nothing
+            tables.upsert(_ids(spark, pairs), root, spec, batch)
+    got = {r["event_id"]: r["patient_id"] for r in tables.read_table(spark, root, spec).collect()}
+    assert got == want
+    current = tables._current(tables._all_parts(spark, root, spec))
+    assert max(level for level, _ in current) == 2 and len(current) <= 2 * 3 + 1
+    for key in ("k000", "k039", "none"):
+        rows = tables.read_key(spark, root, spec, key).collect()
+        assert [r["patient_id"] for r in rows] == ([want[key]] if key in want else [])
+    # What a micro-batch sees is what was there before it, also when it is run again.
+    before = tables.read_before(spark, root, spec, 13)
+    assert {r["event_id"]: r["patient_id"] for r in before.collect()}["k011"] != "b13"
+    assert tables.read_before(spark, root, spec, 0) is None
+
+
+def test_point_read_opens_few_files_and_pushes_the_key(spark, tmp_path):
+    root, spec = str(tmp_path), tables.EVENTS_BY_ID
+    pairs = [(f"k{i:05d}", "p") for i in range(4000)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        tables.upsert(_ids(spark, pairs), root, spec, 0)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    everything = tables.read_parts(spark, root, spec)
+    assert len(everything.inputFiles()) >= 4
+    found = tables.read_key(spark, root, spec, "k01234")
+    assert len(found.inputFiles()) == 1 and found.count() == 1
+    assert "EqualTo(event_id,k01234)" in found._jdf.queryExecution().toString()
+
+
+def test_partitioned_parts_have_files_by_size(spark, tmp_path):
+    rows = spark.range(3000).selectExpr(
+        "concat('t', id % 6) as event_type", "cast(id as string) as event_id", "'p' as patient_id",
+        "timestamp_millis(id) as event_time", "id as arrival_seq",
+    ).repartition(16)
+    tables.upsert(rows, str(tmp_path), tables.EVENTS_BY_TYPE, 0)
+    stored = tables.read_parts(spark, str(tmp_path), tables.EVENTS_BY_TYPE)
+    # At most one file more for each task than there are keys, not tasks times keys.
+    assert stored.count() == 3000 and len(stored.inputFiles()) <= 6 + 8

@@ -4,7 +4,7 @@ import pytest
 from model import alert_model, cooldown_model, route_model
 from pyspark.sql import functions as F
 
-from evpipe.operators.alerts import alerts_with_cooldown
+from evpipe.operators.alerts import alerts_with_cooldown, patient_state
 from evpipe.operators.cooldown import keep_by_blocks, keep_by_fold
 from evpipe.operators.prefix import last_values, running_max
 from evpipe.operators.route import route
@@ -165,3 +165,37 @@ def test_left_join_spreads_hot_keys(spark):
     assert {(r["k"], r["id"], r["v"]) for r in rows} == want and len(rows) == 1000
     plan = joined._jdf.queryExecution().optimizedPlan().toString()
     assert "_salt" in plan and plan.count("xxhash64") >= 2
+
+
+@pytest.mark.parametrize("hot_rows", [10, 10**6])
+def test_alerts_carry_on_over_batches(spark, hot_rows):
+    """Batch by batch with carried state gives the alerts of one run over all events."""
+    rng = random.Random(11)
+    rows = [
+        (rng.choice(["p", "p", "q", "r"]), seq, rng.randrange(0, 4000) + 40 * seq, f"e{seq}",
+         rng.choice([None, "heart_rate", "temperature_c", "wbc", "lactate"]), rng.choice([1.0, 39.0, 120.0]))
+        for seq in range(400)
+    ]
+    events = spark.createDataFrame(
+        rows, "patient_id string, arrival_seq bigint, event_ms bigint, record_key string, "
+        "signal string, signal_value double"
+    )
+    pick = lambda df: sorted(
+        (r["patient_id"], r["arrival_seq"], r["alert_time_ms"]) for r in df.collect()
+    )
+    for cooldown in (0, 500):
+        whole = pick(alerts_with_cooldown(events, cooldown, None))
+        carried, parts = None, []
+        for low in (0, 71, 300):
+            high = {0: 71, 71: 300, 300: 400}[low]
+            batch = events.filter(f"arrival_seq >= {low} and arrival_seq < {high}")
+            hot = find_hot_patients(batch, hot_rows)
+            alerts = alerts_with_cooldown(batch, cooldown, hot, carried).cache()
+            parts += pick(alerts)
+            state = patient_state(batch, alerts, carried).cache()
+            known = {r["patient_id"]: r for r in state.collect()}
+            if carried is not None:
+                rest = [r for r in carried.collect() if r["patient_id"] not in known]
+                known |= {r["patient_id"]: r for r in rest}
+            carried = spark.createDataFrame([tuple(r) for r in known.values()], state.schema)
+        assert sorted(parts) == whole
