@@ -30,9 +30,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from evpipe.llm.token_output import byte_letters
 from evpipe.llm.util import add_columns, ragged
-from evpipe.llm.words import Block, row_slices, text_bytes, worker_cache
+from evpipe.llm.words import Block, byte_letters, row_slices, text_bytes, worker_cache
 
 BLOCK_BYTES = 2 << 20
 # What a worker keeps: about 40 bytes a pre-token and 4 bytes an id.

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evpipe.llm.util import small_batches, stage
+from evpipe.llm.util import small_batches, stage, unused_name
 from evpipe.llm.words import white_space_words, word_blocks
 
 LEAST_WORDS = 8
@@ -227,14 +227,15 @@ def digest(docs: DataFrame) -> DataFrame:
 
 def drop_duplicate_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """`docs` with the duplicate lines cut out of the texts."""
-    numbers = duplicate_lines(docs, key, text).filter("gone").groupBy(F.col("doc_id").alias("d")).agg(
-        F.collect_set("line").alias("gone_lines")
+    own, gone = unused_name(docs, "d"), unused_name(docs, "gone_lines")
+    numbers = duplicate_lines(docs, key, text).filter("gone").groupBy(F.col("doc_id").alias(own)).agg(
+        F.collect_set("line").alias(gone)
     )
-    joined = docs.join(numbers, F.col(f"`{key}`").cast("long").eqNullSafe(F.col("d")), "left")
+    joined = docs.join(numbers, F.col(f"`{key}`").cast("long").eqNullSafe(F.col(own)), "left")
     numbered = F.transform(
         F.split(F.col(f"`{text}`"), "\n", -1),
         lambda x, i: F.when(
-            F.array_contains(F.coalesce("gone_lines", F.array().cast("array<long>")), i.cast("long")),
+            F.array_contains(F.coalesce(gone, F.array().cast("array<long>")), i.cast("long")),
             F.lit(None).cast("string"),
         ).otherwise(x),
     )

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from evpipe.llm.components import components
-from evpipe.llm.util import ragged, small_batches, stage
+from evpipe.llm.util import ragged, small_batches, stage, unused_name
 from evpipe.llm.words import (
     Block,
     gram_hashes,
@@ -270,6 +270,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
 def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of `docs` but for those that another document of their component stands for."""
-    found = near_duplicates(docs, key, text).filter("NOT kept").select(F.col("doc_id").alias("gone"))
-    kept = docs.join(found.distinct(), F.col(f"`{key}`").cast("long") == F.col("gone"), "left_anti")
+    gone = unused_name(docs, "gone")
+    found = near_duplicates(docs, key, text).filter("NOT kept").select(F.col("doc_id").alias(gone))
+    kept = docs.join(found.distinct(), F.col(f"`{key}`").cast("long") == F.col(gone), "left_anti")
     return kept.select(*(F.col(f"`{c}`") for c in docs.columns))

@@ -13,11 +13,10 @@ Blocks follow each other by `start`, in ascending order of doc_id. Any block, an
 between two checkpoints of a block, can be decoded without the rest. The blocks are Parquet rows
 because Spark reaches every store that way.
 
-Texts are cut at spaces and each distinct piece is encoded once by a worker, with the tokenizer's
-model alone where letters, digits and signs tell the pre-tokens, else with all of the tokenizer. That
-gives its own ids: byte-level pre-tokenisation starts a new word at every single space between two
-characters that are not white space. Texts with a space elsewhere are encoded as a whole, and so is
-every text with a tokenizer of another kind.
+Texts are cut into the pre-tokens of byte-level tokenizers, and a worker encodes each distinct one
+once, with the tokenizer's model alone; what it keeps is bounded in number and bytes. Texts with
+characters beyond ASCII and the letters of Latin-1, or with an added token, are encoded as a whole, and
+so is every text with a tokenizer of another kind.
 
 Defined results: a null text is empty and yields the end id alone; a null doc_id comes first; rows
 with equal doc_id follow each other by text; a document is never split, so a block holds at least
@@ -29,10 +28,8 @@ from __future__ import annotations
 import gc
 import json
 import os
-import re
 import zlib
 from collections.abc import Iterator
-from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -41,69 +38,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evpipe.llm import rans
+from evpipe.llm.byte_bpe import Codec
 from evpipe.llm.util import ragged, small_batches, stage
-from evpipe.llm.words import Block, mix, word_blocks, worker_cache
+from evpipe.llm.words import byte_letters, row_slices, text_bytes, worker_cache
 from evpipe.plans.staging import new_path
 
 END_ID = 2
 BLOCK_TOKENS = 1 << 18
-TEXT_BYTES = 4 << 20
-PIECES_KEPT = 1_000_000
-# Pre-tokens of pieces in which they are easily told apart: letters of Latin-1 in UTF-8, digits,
-# other signs than the apostrophe, and single line feeds. A piece with anything else in it, or two
-# line feeds on end, goes through all of the tokenizer.
-_LETTERS = rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+"
-_PRE_TOKENS = re.compile(_LETTERS + rb"|[0-9]+|[!-&(-/:-@\[-`{-~]+|\n")
-
-
-def only_spaces() -> np.ndarray:
-    """Byte class of the pieces: everything but a space."""
-    table = np.ones(256, dtype=bool)
-    table[0x20] = False
-    return table
-
-
-def byte_letters() -> list[str]:
-    """The letter that stands for each byte in a byte-level vocabulary."""
-    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    others = iter(range(0x100, 0x200))
-    return [chr(b) if b in shown else chr(next(others)) for b in range(256)]
-
-
-_ONE_BYTE_SPACE = [0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x1C, 0x1D, 0x1E, 0x1F, 0x20]
-
-
-def plain_rows(block: Block) -> np.ndarray:
-    """Rows in which every space stands between two characters that are not white space."""
-    data, n = block.data, len(block.first) - 1
-    spaces = np.flatnonzero(data == 0x20)
-    if not len(spaces):
-        return np.ones(n, dtype=bool)
-    rows = np.searchsorted(block.offsets, spaces, side="right") - 1
-    edge = (spaces == block.offsets[rows]) | (spaces + 1 == block.offsets[rows + 1])
-    padded = np.concatenate((np.zeros(3, np.uint8), data, np.zeros(3, np.uint8)))
-    at = spaces + 3
-    before = [padded[at - k].astype(np.int64) for k in (3, 2, 1)]
-    after = [padded[at + k].astype(np.int64) for k in (1, 2, 3)]
-    odd = edge | np.isin(before[2], _ONE_BYTE_SPACE) | np.isin(after[0], _ONE_BYTE_SPACE)
-    for x, y, z in (before, after):
-        three = (x << 16) | (y << 8) | z
-        odd |= ((three >= 0xE28080) & (three <= 0xE2808A)) | np.isin(
-            three, [0xE19A80, 0xE280A8, 0xE280A9, 0xE280AF, 0xE2819F, 0xE38080]
-        )
-    two = ((before[1] << 8) | before[2], (after[0] << 8) | after[1])
-    odd |= np.isin(two[0], [0xC285, 0xC2A0]) | np.isin(two[1], [0xC285, 0xC2A0])
-    plain = np.ones(n, dtype=bool)
-    plain[rows[odd]] = False
-    return plain
-
+TEXT_BYTES = 2 << 20
+# Leads a text that the tokenizer gets as a whole; no byte of UTF-8.
+_WHOLE = b"\xff"
 
-class PieceEncoder:
-    """Ids of texts, piece by piece, with the pieces met so far in memory.
 
-    A piece is a key of bytes when it stands behind a space, and a 1-tuple of bytes when it begins
-    a text (or is a whole one).
-    """
+class PieceEncoder(Codec):
+    """Ids of texts by a tokenizer, with the pre-tokens met so far in memory."""
 
     def __init__(self, tokenizer_json: str, end_id: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -112,137 +60,57 @@ class PieceEncoder:
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.model = self.tokenizer.model
         spec = json.loads(tokenizer_json)
-        added = [t["content"].encode() for t in spec.get("added_tokens") or ()]
-        # What a piece must not hold to be cut by its characters alone.
-        self.apart = [b"\n\n", *added]
+        # Found in a text before it is cut, so a text that holds one goes through as a whole.
+        self.added = [t["content"].encode() for t in spec.get("added_tokens") or ()]
         before = spec.get("pre_tokenizer") or {}
-        self.by_piece = (
+        self.by_bytes = (
             spec.get("normalizer") is None and before.get("type") == "ByteLevel"
             and before.get("use_regex", True) and not before.get("add_prefix_space")
-            and not any(b" " in x for x in added)
         )
         self.letters = dict(enumerate(byte_letters()))
         self.end_id = end_id
         self.forget()
 
-    def forget(self) -> None:
-        # Entry 0 is the end of a document.
-        self.known: dict = {}
-        self.inner: dict[bytes, list[int]] = {}
-        self.begin = np.zeros(1024, dtype=np.int64)
-        self.length = np.zeros(1024, dtype=np.int64)
-        self.length[0] = 1
-        self.flat = np.zeros(8192, dtype=np.int32)
-        self.flat[0] = self.end_id
-        self.entries, self.used = 1, 1
-
-    def whole(self, texts: list[str]) -> list[list[int]]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [x.ids for x in found]
-
-    def pre_token(self, text: bytes) -> list[int]:
-        return [t.id for t in self.model.tokenize(text.decode("latin-1").translate(self.letters))]
-
-    def simple(self, parts: list[bytes]) -> list[int]:
-        """The ids of a space and the pre-tokens behind it."""
-        k = self.known.get(parts[0])
-        if k is None:
-            ids = self.pre_token(b" " + parts[0])
-        else:
-            ids = self.flat[self.begin[k] : self.begin[k] + self.length[k]].tolist()
-        for part in parts[1:]:
-            own = self.inner.get(part)
-            if own is None:
-                own = self.inner[part] = self.pre_token(part)
-            ids += own
-        return ids
-
-    def learn(self, pieces: list) -> None:
-        """Add pieces that are not known."""
-        ids: list = [None] * len(pieces)
-        others = []
-        for i, piece in enumerate(pieces):
-            if type(piece) is bytes and not any(x in piece for x in self.apart):
-                parts = _PRE_TOKENS.findall(piece)
-                if sum(map(len, parts)) == len(piece):
-                    ids[i] = self.simple(parts)
-                    continue
-            others.append(i)
-        texts = [
-            pieces[i][0].decode("utf-8") if type(pieces[i]) is tuple
-            else " " + pieces[i].decode("utf-8")
-            for i in others
-        ]
-        for i, found in zip(others, self.whole(texts) if texts else (), strict=True):
-            ids[i] = found
-        lengths = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
-        n, size = self.entries + len(ids), self.used + int(lengths.sum())
-        if n > len(self.begin):
-            self.begin = np.resize(self.begin, 2 * n)
-            self.length = np.resize(self.length, 2 * n)
-        if size > len(self.flat):
-            self.flat = np.resize(self.flat, 2 * size)
-        self.begin[self.entries : n] = self.used + np.cumsum(lengths) - lengths
-        self.length[self.entries : n] = lengths
-        self.flat[self.used : size] = np.fromiter(
-            chain.from_iterable(ids), dtype=np.int32, count=size - self.used
-        )
-        self.known.update(zip(pieces, range(self.entries, n), strict=True))
-        self.entries, self.used = n, size
-
-    def entries_of(self, pieces: list) -> np.ndarray:
-        at = np.fromiter(
-            map(self.known.get, pieces, repeat(-1)), dtype=np.int64, count=len(pieces)
-        )
-        missing = np.flatnonzero(at < 0)
-        if len(missing):
-            first = self.entries
-            self.learn([pieces[i] for i in missing.tolist()])
-            at[missing] = np.arange(first, self.entries)
-        return at
-
-    def encode(self, block: Block) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all rows of a block, end ids included, and how many belong to each row."""
-        if max(self.entries, len(self.inner)) > PIECES_KEPT:
-            self.forget()
+    def pieces_of(self, text: str) -> list[bytes]:
+        return [_WHOLE + text.encode()]
+
+    def ids_of(self, pieces: list[bytes]) -> list:
+        if pieces and pieces[0][:1] == _WHOLE:
+            texts = [piece[1:].decode() for piece in pieces]
+            return [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        tokenize, letters = self.model.tokenize, self.letters
+        return [[t.id for t in tokenize(x.decode("latin-1").translate(letters))] for x in pieces]
+
+    def with_added(self, data: np.ndarray, offsets: np.ndarray) -> list[int]:
+        """The rows that hold an added token."""
+        raw, found = data.tobytes(), set()
+        for token in self.added:
+            at = raw.find(token)
+            while at >= 0:
+                row = int(np.searchsorted(offsets, at, side="right")) - 1
+                found.add(row)
+                at = raw.find(token, int(offsets[row + 1]))
+        return sorted(found)
+
+    def encode_rows(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of some rows, end ids included, and how many belong to each row."""
         # Hundreds of thousands of short lists and no cycle: nothing for the collector to find.
         gc.disable()
         try:
-            return self._encode(block)
+            parts, low, by_bytes = [], 0, self.by_bytes
+            for row in [*self.with_added(data, offsets), len(offsets) - 1]:
+                for a, b, cut in ((low, row, by_bytes), (row, row + 1, False)):
+                    if a < b < len(offsets):
+                        self.by_bytes = cut
+                        some = offsets[a : b + 1]
+                        parts.append(self.encode_block(data[some[0] : some[-1]], some - some[0]))
+                low = row + 1
+            self.by_bytes = by_bytes
         finally:
             gc.enable()
-
-    def _encode(self, block: Block) -> tuple[np.ndarray, np.ndarray]:
-        n = len(block.first) - 1
-        plain = plain_rows(block) if self.by_piece else np.zeros(n, dtype=bool)
-        data = block.data.tobytes()
-        rows = np.repeat(np.arange(n), block.counts())
-        used = np.flatnonzero(plain[rows])
-        heads = np.zeros(len(rows), dtype=bool)
-        heads[block.first[:-1][block.counts() > 0]] = True
-        codes = block.codes()
-        codes[heads] = mix(codes[heads] + np.uint64(1))
-        codes = codes[used]
-        _, where, back = np.unique(codes, return_index=True, return_inverse=True)
-        pieces: list = []
-        for i in used[where].tolist():
-            piece = data[block.starts[i] : block.ends[i]]
-            pieces.append((piece,) if heads[i] else piece)
-        entry = self.entries_of(pieces)[back] if pieces else np.empty(0, np.int64)
-        # Rows with other white space are one piece; every row ends with entry 0.
-        odd = np.flatnonzero(~plain)
-        texts = self.entries_of(
-            [(data[block.offsets[r] : block.offsets[r + 1]],) for r in odd.tolist()]
-        )
-        row = np.concatenate((rows[used], odd, np.arange(n)))
-        order = np.argsort(row, kind="stable")
-        entry = np.concatenate((entry, texts, np.zeros(n, np.int64)))[order]
-        lengths = self.length[entry]
-        ahead = np.concatenate(([0], np.cumsum(lengths)))
-        shift = np.repeat(self.begin[entry] - ahead[:-1], lengths)
-        ids = self.flat[shift + np.arange(ahead[-1])]
-        bounds = np.searchsorted(row[order], np.arange(n + 1))
-        return ids, np.diff(ahead[bounds])
+        flat = np.concatenate([ids for ids, _ in parts])
+        counts = np.concatenate([n for _, n in parts])
+        return np.insert(flat, np.cumsum(counts), self.end_id), counts + 1
 
 
 def worker_encoder(tokenizer_json: str, end_id: int) -> PieceEncoder:
@@ -284,12 +152,13 @@ def token_blocks(
             )
 
         for batch in batches:
-            for piece in word_blocks(batch.column(1), only_spaces(), None, TEXT_BYTES):
-                found, counts = encoder.encode(piece)
+            raw, offsets = text_bytes(batch.column(1))
+            for rows in row_slices(offsets, TEXT_BYTES):
+                some = offsets[rows.start : rows.stop + 1]
+                found, counts = encoder.encode_rows(raw[some[0] : some[-1]], some - some[0])
                 ids.append(found)
                 sizes.append(counts)
-                low, high = piece.rows.start, piece.rows.stop
-                keys.append(batch.column(0).slice(low, high - low))
+                keys.append(batch.column(0).slice(rows.start, rows.stop - rows.start))
                 held += len(found)
                 if held >= BLOCK_TOKENS:
                     yield block()

@@ -66,6 +66,14 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def unused_name(df: DataFrame, name: str) -> str:
+    """`name`, or that with underscores behind, such that `df` has no column of that name."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def add_columns(
     df: DataFrame, column: str, fields: list[tuple[str, str]], make: Callable[[pa.Array], list]
 ) -> DataFrame:

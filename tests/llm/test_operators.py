@@ -207,7 +207,7 @@ def test_pieces_give_the_tokenizers_ids():
     import pyarrow as pa
     from tokenizers import Tokenizer
 
-    from evpipe.llm.words import word_blocks
+    from evpipe.llm.words import row_slices, text_bytes
 
     json = token_output.tokenizer_json()
     tokenizer = Tokenizer.from_str(json)
@@ -225,8 +225,10 @@ def test_pieces_give_the_tokenizers_ids():
         ))
     encoder = token_output.PieceEncoder(json, 2)
     got = []
-    for block in word_blocks(pa.array(rows), token_output.only_spaces(), None, 20_000):
-        ids, counts = encoder.encode(block)
+    raw, offsets = text_bytes(pa.array(rows))
+    for some in row_slices(offsets, 20_000):
+        own = offsets[some.start : some.stop + 1]
+        ids, counts = encoder.encode_rows(raw[own[0] : own[-1]], own - own[0])
         bounds = np.concatenate(([0], np.cumsum(counts)))
         got += [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:], strict=False)]
     assert got == [
@@ -618,3 +620,21 @@ def test_automaton_counts_occurrences():
                 for i in range(len(words) - n + 1)
             ]
             assert shard.occurrences(words, n) == expected
+
+
+def test_columns_named_like_helpers(spark):
+    """The tables' own columns may have any name, and stay as they are."""
+    text = "one two three four five six seven eight nine ten eleven"
+    rows = [(1, text, 5, "a", [1], 3), (2, text, 6, "b", [2], 4), (3, text + "\nother words", 7, "c", None, 1)]
+    docs = spark.createDataFrame(
+        rows, "doc_id long, text string, gone long, d string, gone_lines array<long>, rep long"
+    )
+    kept = near_dedup.drop_near_duplicates(docs)
+    assert kept.columns == docs.columns
+    # The third shares 7 of 9 shingles with the first: not near enough.
+    assert sorted(tuple(r) for r in kept.collect()) == [rows[0], rows[2]]
+    cut = line_dedup.drop_duplicate_lines(docs)
+    assert cut.columns == docs.columns
+    found = {r["doc_id"]: r for r in cut.collect()}
+    assert found[1]["text"] == text and found[2]["text"] == "" and found[3]["text"] == "other words"
+    assert [found[i]["gone"] for i in (1, 2, 3)] == [5, 6, 7] and found[2]["d"] == "b"
