@@ -19,7 +19,6 @@ other's sake; a null doc_id is the earliest. An empty table gives an empty one.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,36 +26,75 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evpipe.llm.util import small_batches, stage, unused_name
-from evpipe.llm.words import white_space_words, word_blocks
+from evpipe.llm.util import ragged, small_batches, stage, unused_name
+from evpipe.llm.words import Block, RunSums, white_space_words, word_blocks
 
 LEAST_WORDS = 8
 
 
-def _print(words: bytes) -> bytes:
-    return hashlib.blake2b(words, digest_size=16).digest()
+class Lines:
+    """The lines of a block of rows that have words: `row` and `line` number, and the words from
+    `a` to `b` of the block."""
 
-
-def _long(words: bytes) -> int:
-    return int.from_bytes(hashlib.blake2b(words, digest_size=8).digest(), "little", signed=True)
-
-
-def _cut_lines(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, list[list[bytes]]]]:
-    """For blocks of rows: the row and the number of each line that has words, and its words."""
-    for block in word_blocks(column, white_space_words()):
+    def __init__(self, block: Block):
         breaks = np.flatnonzero(block.data == 0x0A)
-        data = block.data.tobytes()
         rows = np.repeat(np.arange(len(block.first) - 1), block.counts())
         # Line breaks before a word, in the block and in its own row.
         before = np.searchsorted(breaks, block.starts)
         line = before - np.searchsorted(breaks, block.offsets[:-1])[rows]
-        opens = np.flatnonzero(np.diff(line, prepend=-1) | np.diff(rows, prepend=-1))
-        closes = np.append(opens[1:], len(rows)) if len(opens) else opens
-        words = []
-        for a, b in zip(opens.tolist(), closes.tolist(), strict=True):
-            spans = zip(block.starts[a:b].tolist(), block.ends[a:b].tolist(), strict=True)
-            words.append([data[p:q] for p, q in spans])
-        yield rows[opens] + block.rows.start, line[opens], words
+        self.block = block
+        self.a = np.flatnonzero(np.diff(line, prepend=-1) | np.diff(rows, prepend=-1))
+        self.b = np.append(self.a[1:], len(rows)) if len(self.a) else self.a
+        self.row, self.line = rows[self.a] + block.rows.start, line[self.a]
+        self.sums = RunSums(block.codes()), RunSums(block.codes(second=True))
+
+    def prints(self, kept: np.ndarray | slice = slice(None)) -> list[pa.Array]:
+        """`p1` and `p2`, together a fingerprint of 128 bits of the words of each line."""
+        return [_signed(s.run(self.a[kept], self.b[kept])) for s in self.sums]
+
+    def halves(self) -> pa.Array:
+        """Fingerprints of which two sequences that are one edit apart have one in common at least;
+        none for lines of fewer than `LEAST_WORDS` words."""
+        n = self.b - self.a
+        long = n >= LEAST_WORDS
+        a, b, n = self.a[long], self.b[long], n[long]
+        found = np.empty((len(n), 4), dtype=np.uint64)
+        # For the longer sequence of a pair with `m` words: its first m // 2 or last (m - 1) // 2
+        # words are untouched. This one may be the longer or the shorter of a pair.
+        for k, m in enumerate((n, n + 1)):
+            found[:, 2 * k] = self.sums[0].run(a, a + m // 2, 2 * m)
+            found[:, 2 * k + 1] = self.sums[0].run(b - (m - 1) // 2, b, 2 * m + 1)
+        offsets = np.concatenate(([0], np.cumsum(4 * long)))
+        return ragged(found.ravel().view(np.int64), offsets, pa.int64())
+
+    def words(self, kept: np.ndarray) -> pa.Array:
+        """The words of the lines marked in `kept`, joined by one space."""
+        a, b = self.a[kept], self.b[kept]
+        if not len(a):
+            return pa.array([], pa.binary())
+        n = b - a
+        ends = np.cumsum(n)
+        at = np.arange(ends[-1]) + np.repeat(a - (ends - n), n)
+        size = self.block.ends[at] - self.block.starts[at] + 1
+        # No space behind the last word of a line.
+        size[ends - 1] -= 1
+        opens = np.cumsum(size) - size
+        source = np.arange(opens[-1] + size[-1]) + np.repeat(self.block.starts[at] - opens, size)
+        out = self.block.data[np.minimum(source, len(self.block.data) - 1)]
+        spaces = (opens + size - 1).astype(np.int64)
+        out[np.delete(spaces, ends - 1)] = 0x20
+        bounds = np.concatenate(([0], (opens + size)[ends - 1])).astype(np.int32)
+        return pa.Array.from_buffers(
+            pa.binary(), len(a), [None, pa.py_buffer(bounds.tobytes()), pa.py_buffer(out.tobytes())]
+        )
+
+
+def _signed(prints: np.ndarray) -> pa.Array:
+    return pa.array(prints.view(np.int64))
+
+
+def _lines(column: pa.Array) -> Iterator[Lines]:
+    return map(Lines, word_blocks(column, white_space_words()))
 
 
 def lines_of(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -66,14 +104,11 @@ def lines_of(docs: DataFrame, key: str, text: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows, line, words in _cut_lines(batch.column(1)):
-                prints = np.frombuffer(b"".join(_print(b" ".join(w)) for w in words), "<i8")
-                half = [halves(w) if len(w) >= LEAST_WORDS else [] for w in words]
+            for lines in _lines(batch.column(1)):
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).take(pa.array(rows, pa.int64())),
-                        pa.array(line, pa.int64()), pa.array(prints[0::2]), pa.array(prints[1::2]),
-                        pa.array(half, pa.list_(pa.int64())),
+                        batch.column(0).take(pa.array(lines.row, pa.int64())),
+                        pa.array(lines.line, pa.int64()), *lines.prints(), lines.halves(),
                     ],
                     ["doc_id", "line", "p1", "p2", "halves"],
                 )
@@ -91,42 +126,22 @@ def _words_of(docs: DataFrame, key: str, text: str, wanted: DataFrame) -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            numbers = [set(x) for x in batch.column(1).to_pylist()]
-            for rows, line, words in _cut_lines(batch.column(0)):
-                kept = [
-                    b" ".join(w)
-                    for r, n, w in zip(rows.tolist(), line.tolist(), words, strict=True)
-                    if n in numbers[r]
-                ]
-                prints = np.frombuffer(b"".join(map(_print, kept)), "<i8")
+            numbers = batch.column(1)
+            asked = numbers.flatten().to_numpy(zero_copy_only=False)
+            rows = np.repeat(
+                np.arange(len(numbers)), numbers.value_lengths().to_numpy(zero_copy_only=False)
+            )
+            # A row has fewer than 2^31 bytes, and a batch at most some thousand rows.
+            asked = (rows << 32) + asked
+            for lines in _lines(batch.column(0)):
+                kept = np.isin((lines.row << 32) + lines.line, asked)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(prints[0::2]), pa.array(prints[1::2]), pa.array(kept, pa.binary())],
-                    ["p1", "p2", "words"],
+                    [*lines.prints(kept), lines.words(kept)], ["p1", "p2", "words"]
                 )
 
     return texts.select("x", "numbers").mapInArrow(run, "p1 long, p2 long, words binary")
 
 
-def halves(words: list[bytes]) -> list[int]:
-    """Fingerprints of which two sequences that are one edit apart have one in common at least."""
-    n = len(words)
-    found = set()
-    # For the longer sequence of a pair with `m` words: its first m // 2 or last (m - 1) // 2 words
-    # are untouched. This one may be the longer or the shorter of a pair.
-    for m in (n, n + 1):
-        a, b = m // 2, (m - 1) // 2
-        found.add(_long(b"<%d %s" % (m, b" ".join(words[:a]))))
-        found.add(_long(b">%d %s" % (m, b" ".join(words[n - b :] if b else []))))
-    return list(found)
-
-
-def neighbourhood(words: list[bytes]) -> list[tuple[bytes, int]]:
-    """(fingerprint, place left out), place -1 for the whole."""
-    out = [(_print(b" ".join(words)), -1)]
-    out += [(_print(b" ".join(words[:i] + words[i + 1 :])), i) for i in range(len(words))]
-    return out
-
-
 def within_one_edit(a: list[bytes], b: list[bytes]) -> bool:
     if len(a) > len(b):
         a, b = b, a
@@ -137,22 +152,22 @@ def within_one_edit(a: list[bytes], b: list[bytes]) -> bool:
 
 
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["p1", "p2", "k1", "k2", "place"]
+    """The keys of each sequence: of the whole (`place` -1) and of what is left without a word."""
     for batch in batches:
-        rows = zip(*(batch.column(c).to_pylist() for c in ("p1", "p2", "words")), strict=True)
-        own, keys, places = [], [], []
-        for p1, p2, words in rows:
-            for key, place in neighbourhood(words.split(b" ")):
-                own.append((p1, p2))
-                keys.append(key)
-                places.append(place)
-        prints = np.frombuffer(b"".join(keys), "<i8")
-        first, second = zip(*own, strict=True) if own else ((), ())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(first, pa.int64()), pa.array(second, pa.int64()), pa.array(prints[0::2]),
-             pa.array(prints[1::2]), pa.array(places, pa.int64())],
-            names,
-        )
+        for block in word_blocks(batch.column("words"), white_space_words()):
+            a, b = block.first[:-1], block.first[1:]
+            row = np.repeat(np.arange(len(a)), b - a)
+            word = np.arange(len(row))
+            keys = []
+            for sums in (RunSums(block.codes()), RunSums(block.codes(second=True))):
+                lacking = sums.without(a[row], word, b[row])
+                keys.append(_signed(np.concatenate((sums.run(a, b), lacking))))
+            own = pa.array(np.concatenate((np.arange(len(a)), row)) + block.rows.start)
+            place = np.concatenate((np.full(len(a), -1), word - a[row]))
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c).take(own) for c in ("p1", "p2", "first")), *keys, pa.array(place)],
+                ["p1", "p2", "first", "k1", "k2", "place"],
+            )
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -175,11 +190,16 @@ def earlier_neighbours(docs: DataFrame, lines: DataFrame, first: DataFrame, key:
     open_ = stage(half.join(shared, "half").select("p1", "p2").distinct(), "open-lines")
     candidates = stage(open_.hint("merge").join(first, ["p1", "p2"]), "candidates")
     wanted = candidates.select("first.doc_id", "first.line")
-    words = stage(
-        _words_of(docs, key, text, wanted).dropDuplicates(["p1", "p2"]), "candidate-words"
+    fetched = _words_of(docs, key, text, wanted).dropDuplicates(["p1", "p2"])
+    words = stage(fetched.join(candidates.hint("merge"), ["p1", "p2"]), "candidate-words")
+    place = "struct<doc_id: bigint, line: bigint>"
+    emitted = words.mapInArrow(
+        _neighbours, f"p1 long, p2 long, first {place}, k1 long, k2 long, place long"
     )
-    emitted = words.mapInArrow(_neighbours, "p1 long, p2 long, k1 long, k2 long, place long")
-    keyed = stage(emitted.join(candidates, ["p1", "p2"]), "neighbours")
+    # Nearly all keys belong to one sequence. Emitting twice is cheaper than storing them.
+    keys = emitted.groupBy("k1", "k2").agg(F.min("p1").alias("low"), F.max("p1").alias("high"))
+    keys = keys.filter("low <> high").select("k1", "k2")
+    keyed = stage(emitted.join(keys.hint("merge"), ["k1", "k2"]), "neighbours")
     # The earliest of those that lack the same place, and of whole and lacking ones of one key.
     lacking, whole = keyed.filter("place >= 0"), keyed.filter("place < 0")
     own = F.struct("first", "p1", "p2")

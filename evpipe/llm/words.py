@@ -23,6 +23,8 @@ _MULTIPLIER = 0xD6E8FEB86659FD93
 _INVERSE = pow(_MULTIPLIER, -1, 1 << 64)
 _GRAM = 0xA0761D6478BD642F
 _GRAM_INVERSE = pow(_GRAM, -1, 1 << 64)
+_SECOND = 0x9FB21C651E98DF25
+_SECOND_INVERSE = pow(_SECOND, -1, 1 << 64)
 
 
 def white_space_words() -> np.ndarray:
@@ -60,6 +62,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 _BYTE_VALUES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_ODD & (2**64 - 1)))
+_SECOND_VALUES = mix(np.arange(257, 513, dtype=np.uint64) * np.uint64(_ODD))
 
 
 def worker_cache() -> dict:
@@ -105,6 +108,37 @@ def gram_hashes(codes: np.ndarray, n: int) -> np.ndarray:
     return mix((ahead[n:] - ahead[:-n]) * powers(_GRAM_INVERSE, count))
 
 
+class RunSums:
+    """Fingerprints of any runs of codes, each from two prefix sums.
+
+    Equal runs have equal fingerprints wherever they stand, also in other blocks. `a`, `i`, `b` are
+    arrays of positions with `a <= i < b`.
+    """
+
+    def __init__(self, codes: np.ndarray):
+        n = len(codes)
+        self.ahead = np.zeros(n + 1, dtype=np.uint64)
+        np.cumsum(codes * powers(_GRAM, n), out=self.ahead[1:])
+        self.back = powers(_GRAM_INVERSE, n + 2)
+
+    def _sum(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return (self.ahead[b] - self.ahead[a]) * self.back[a]
+
+    def run(self, a: np.ndarray, b: np.ndarray, tag: np.ndarray | int = 0) -> np.ndarray:
+        """Of the codes from `a` to `b`, told apart by `tag`."""
+        return _closed(self._sum(a, b), b - a, tag)
+
+    def without(self, a: np.ndarray, i: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Of the codes from `a` to `b` that lack the one at `i`: `run` of that shorter sequence."""
+        rest = self.ahead[b] - self.ahead[i + 1]
+        return _closed(self._sum(a, i) + rest * self.back[a + 1], b - a - 1, 0)
+
+
+def _closed(total: np.ndarray, n: np.ndarray, tag: np.ndarray | int) -> np.ndarray:
+    kind = np.asarray(tag).astype(np.uint64) * np.uint64(_SECOND)
+    return mix(mix(total + n.astype(np.uint64) * np.uint64(_ODD)) + kind)
+
+
 @dataclass
 class Block:
     """Some whole rows of a batch. Word `i` is `data[starts[i]:ends[i]]`; row `r` has the words
@@ -117,14 +151,17 @@ class Block:
     ends: np.ndarray
     first: np.ndarray
 
-    def codes(self) -> np.ndarray:
-        """64-bit fingerprints of the words."""
+    def codes(self, second: bool = False) -> np.ndarray:
+        """64-bit fingerprints of the words; `second` gives others, independent of the first."""
         if not len(self.starts):
             return np.empty(0, dtype=np.uint64)
         n = len(self.data)
+        values, base, inverse = _BYTE_VALUES, _MULTIPLIER, _INVERSE
+        if second:
+            values, base, inverse = _SECOND_VALUES, _SECOND, _SECOND_INVERSE
         ahead = np.zeros(n + 1, dtype=np.uint64)
-        np.cumsum(_BYTE_VALUES[self.data] * powers(_MULTIPLIER, n), out=ahead[1:])
-        total = (ahead[self.ends] - ahead[self.starts]) * powers(_INVERSE, n)[self.starts]
+        np.cumsum(values[self.data] * powers(base, n), out=ahead[1:])
+        total = (ahead[self.ends] - ahead[self.starts]) * powers(inverse, n)[self.starts]
         return mix(total + (self.ends - self.starts).astype(np.uint64) * np.uint64(_ODD))
 
     def counts(self) -> np.ndarray:
