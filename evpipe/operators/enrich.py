@@ -5,12 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evpipe.operators.skew import SALTS, left_join_hot
+from evpipe.operators.skew import by_size, key_or_nobody, left_join_hot
+from evpipe.plans.staging import stage
 from evpipe.schema import LOOKUP_FAILED_JSON
 
-# Leads the join keys of records that look up nothing: a noncharacter, so no patient is named so.
-NOBODY = "\ufdd0"
-
 
 def patient_metadata(dim: DataFrame) -> DataFrame:
     """`patient_id` and all other columns as a string map."""
@@ -31,7 +29,7 @@ def enrich(
 
     `dim` has one row per patient (`patient_id`, `metadata`). It is not hinted: Spark broadcasts
     it when its size allows, otherwise it is a key join. For patients known to fill much of
-    `events` the entries are broadcast and the rows spread. Without a dimension the
+    `events` the entries are broadcast, if they fit, and the rows spread. Without a dimension the
     failure marker is stored and the records still pass.
     """
     ok = F.lit(True) if accepted is None else accepted
@@ -42,11 +40,11 @@ def enrich(
     # Records that are not accepted, and those without a patient, have nothing to look up. A null key
     # would send all of them to one task, so they get keys of their own that no patient has.
     asked = events.withColumn("_patient", F.col("patient_id"))
-    nobody = F.concat(F.lit(NOBODY), F.pmod(F.xxhash64("arrival_seq"), F.lit(SALTS)).cast("string"))
-    key = F.when(ok & F.col("patient_id").isNotNull(), F.col("patient_id")).otherwise(nobody)
+    key = key_or_nobody(F.when(ok, F.col("patient_id")), F.col("arrival_seq"))
     events = asked.withColumn("patient_id", key)
     if hot_patients is not None:
-        hot = lookup.join(F.broadcast(hot_patients), "patient_id", "left_semi")
+        # Written out, since its size decides how it is joined.
+        hot = stage(lookup.join(by_size(hot_patients), "patient_id", "left_semi"), "hot-metadata")
         found = left_join_hot(events, lookup, "patient_id", hot, F.col("arrival_seq"))
     else:
         found = events.join(lookup, "patient_id", "left").select(*events.columns, "_json")

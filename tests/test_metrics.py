@@ -32,6 +32,28 @@ def test_percentiles_equal_sorted_list(spark, kind):
         assert near[f"p{p}"] == ordered[min(n - 1, round(p / 100 * (n - 1)))]
 
 
+@pytest.mark.parametrize("kind", ["close", "tiny", "ties", "mixed"])
+def test_ranks_in_crowded_buckets(spark, monkeypatch, kind):
+    """Ranges are narrowed until few rows are left, also when all values share a bucket."""
+    rnd = random.Random(2)
+    values = {
+        "close": [1e6 + rnd.random() * 1e-3 for _ in range(400)],
+        "tiny": [rnd.choice([-1, 1]) * 10.0 ** rnd.uniform(-40, -5) for _ in range(300)],
+        "ties": [5.0 + rnd.choice([0.0, 0.0, 1e-12, 3e-12]) for _ in range(300)],
+        "mixed": [rnd.choice([3.0, -3.0, 0.0, -0.0, float("inf")]) + rnd.random() for _ in range(300)],
+    }[kind]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    ordered, n = sorted(values), len(values)
+    monkeypatch.setattr(pct, "NARROW_ROWS", 5)
+    monkeypatch.setattr(pct, "PIECES", 8 if kind != "tiny" else 100_000)
+    ranks = {f"r{k}": F.lit(k) for k in (0, n // 3, n // 2, n - 1)} | {"none": F.col("n")}
+    row = pct.values_at_ranks(df, "v", ranks).first()
+    assert [row[f"r{k}"] for k in (0, n // 3, n // 2, n - 1)] == [
+        ordered[k] for k in (0, n // 3, n // 2, n - 1)
+    ]
+    assert row["none"] is None
+
+
 def test_empty_latencies_are_zeros(spark):
     df = spark.createDataFrame([], "v double")
     assert tuple(pct.latency_summary(df, "v").first()) == (0.0, 0.0, 0.0, 0.0)

@@ -4,6 +4,7 @@ import pytest
 from model import alert_model, cooldown_model, route_model
 from pyspark.sql import functions as F
 
+from evpipe.operators import skew
 from evpipe.operators.alerts import alerts_with_cooldown, patient_state
 from evpipe.operators.cooldown import keep_by_blocks, keep_by_fold
 from evpipe.operators.prefix import last_values, running_max
@@ -167,6 +168,45 @@ def test_left_join_spreads_hot_keys(spark):
     assert "_salt" in plan and plan.count("xxhash64") >= 2
 
 
+@pytest.mark.parametrize("most_bytes", [0, 64 << 20])
+def test_any_number_of_hot_keys(spark, monkeypatch, most_bytes):
+    """12,000 hot keys, by broadcast and by key; rows without a key meet nothing."""
+    monkeypatch.setattr(skew, "BROADCAST_BYTES", most_bytes)
+    events = spark.range(60_000).select(
+        F.col("id").alias("arrival_seq"),
+        F.when(F.col("id") < 36_000, F.concat(F.lit("p"), F.col("id") % 12_000))
+        .when(F.col("id") < 50_000, F.concat(F.lit("c"), "id")).alias("patient_id"),
+    )
+    hot = find_hot_patients(events, 3)
+    assert hot.count() == 12_000
+    marked = skew.mark_hot(events, hot, "_hot")
+    assert marked.columns == [*events.columns, "_hot"]
+    row = marked.agg(
+        F.count("*"), F.count_if("_hot"), F.count_if(F.col("_hot") != (F.col("arrival_seq") < 36_000))
+    ).first()
+    assert tuple(row) == (60_000, 36_000, 0)
+    right = events.filter("patient_id is not null").groupBy("patient_id").agg(
+        F.min("arrival_seq").alias("first")
+    )
+    hot_rows = right.join(hot, "patient_id", "left_semi")
+    joined = left_join_hot(events, right, "patient_id", hot_rows, F.col("arrival_seq"))
+    plain = events.join(right, "patient_id", "left").select("arrival_seq", "patient_id", "first")
+    assert joined.columns == plain.columns
+    assert joined.exceptAll(plain).isEmpty() and joined.count() == 60_000
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert ("_salt" in plan) == (most_bytes > 0)
+
+
+def test_routing_and_alerts_beyond_a_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(skew, "BROADCAST_BYTES", 0)
+    events = random_events(9, 500)
+    rows = route(frame(spark, events), "stream", 30, 5).collect()
+    assert {r["arrival_seq"]: r["errors"] for r in rows} == route_model(events, "stream", 30_000)
+    accepted = frame(spark, events)
+    got = alerts_with_cooldown(accepted, 60_000, find_hot_patients(accepted, 20)).collect()
+    assert {(r["patient_id"], r["arrival_seq"]) for r in got} == alert_model(events, 60_000)
+
+
 @pytest.mark.parametrize("hot_rows", [10, 10**6])
 def test_alerts_carry_on_over_batches(spark, hot_rows):
     """Batch by batch with carried state gives the alerts of one run over all events."""
