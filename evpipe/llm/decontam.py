@@ -9,8 +9,9 @@ start is left. Blocks are independent, so neither building nor asking needs a sh
 phrases travel to the blocks in portions of at most `PORTION_WORDS` words, each a broadcast of
 bounded size.
 
-`Postings.proximity` answers a looser question on the same postings: where do all words of a phrase
-stand within a given number of words, in any order.
+`search_near` asks the same index a looser question: where do all words of an item stand within a
+given number of words, in any order. There the items do not pass the driver: each goes, by its word
+that is rarest in all documents, to the blocks that hold this word.
 
 Defined results: null and word-free texts have no words and are never hit; an item without words
 takes no part; equal items are all listed; rows with equal ids are judged one by one; an item with a
@@ -32,6 +33,8 @@ from evpipe.llm.words import letter_words, lower_ascii, word_blocks
 
 WINDOW = 10
 PORTION_WORDS = 2_000_000
+# Words of the items that one task asks a block about in `search_near`; more are dealt over tasks.
+ASKED_WORDS = 1_000_000
 
 Portion = list[tuple[bytes, list[str]]]
 
@@ -259,6 +262,102 @@ def search(index: DataFrame, items: DataFrame, window: int = WINDOW, item: str =
     return found.select("ids", "first", "hits", "items").mapInArrow(unpack, schema)
 
 
+def _distinct_words(items: DataFrame, item: str, text: str) -> DataFrame:
+    """`item` and `words`, its distinct words in order; items without words are left out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block in word_blocks(batch.column(1), letter_words(), lower_ascii()):
+                codes = block.codes().view(np.int64)
+                sets = [
+                    np.unique(codes[a:b]) for a, b in zip(block.first, block.first[1:], strict=False)
+                ]
+                names = batch.column(0).slice(block.rows.start, len(sets))
+                offsets = np.concatenate(([0], np.cumsum([len(x) for x in sets])))
+                flat = np.concatenate(sets)
+                yield pa.RecordBatch.from_arrays(
+                    [names, ragged(flat, offsets, pa.int64())], ["item", "words"]
+                )
+
+    picked = items.select(F.col(f"`{item}`").cast("string"), F.col(f"`{text}`"))
+    found = picked.mapInArrow(run, "item string, words array<long>")
+    return found.filter(F.size("words") > 0).distinct()
+
+
+def _block_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for r in range(batch.num_rows):
+            block, words, counts = (c[r].as_py() for c in batch.columns)
+            words, counts = np.frombuffer(words, np.int64), np.frombuffer(counts, np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(words), block)), pa.array(words), pa.array(counts, pa.int64())],
+                ["block", "word", "n"],
+            )
+
+
+def search_near(index: DataFrame, items: DataFrame, within: int, item: str = "item_id",
+                item_text: str = "text") -> DataFrame:
+    """`doc_id`, `item`, `first`, `last`: stretches of at most `within` words of one document that
+    hold every distinct word of an item, in any order; positions count words from 0.
+
+    For each place at which such a stretch can end there is one row, with the shortest stretch.
+    `index` is a stored `build_index`. Items without words, and those with more distinct words than
+    `within`, match nothing; an item with a null id is reported with a null `item`; items of equal id
+    and words count once, those of equal ids and different words are all reported. Documents that are
+    repeated are reported one by one.
+    """
+    # Equal blocks share an id, and with it what they are asked about, which is the same.
+    blocks = index.withColumn("block", F.xxhash64(*index.columns))
+    asked = stage(
+        _distinct_words(items, item, item_text).filter(F.size("words") <= within), "asked-items"
+    )
+    terms = asked.select(F.explode("words").alias("word")).distinct()
+    held = blocks.select("block", "words", "counts").mapInArrow(
+        _block_words, "block long, word long, n long"
+    )
+    held = stage(held.join(terms, "word"), "asked-words")
+    frequency = held.groupBy("word").agg(F.sum("n").alias("n"))
+    # An item with a word that stands nowhere matches nothing.
+    word_of = asked.select("item", "words", F.explode("words").alias("word"))
+    rarest = word_of.join(frequency, "word", "left").groupBy("item", "words").agg(
+        F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "word")).alias("rare")
+    ).filter("rare.n > 0")
+    rarest = rarest.select("item", "words", F.col("rare.word").alias("word"))
+    met = stage(rarest.join(held.select("word", "block").distinct(), "word").drop("word"), "met-items")
+    # A block that very many items meet is asked in several tasks.
+    parts = met.groupBy("block").agg(F.ceil(F.sum(F.size("words")) / ASKED_WORDS).alias("parts"))
+    part = F.pmod(F.xxhash64("item", "words"), F.col("parts")).cast("int").alias("part")
+    dealt = met.join(parts, "block").select("block", part, "item", "words")
+    copies = blocks.select("block", "ids", "first", F.col("words").alias("vocabulary"), "counts", "places")
+    copies = copies.join(parts, "block").select(
+        "*", F.explode(F.sequence(F.lit(0), F.col("parts").cast("int") - 1)).alias("part")
+    ).drop("parts")
+    schema = "doc_id long, item string, first long, last long"
+
+    def near(blocks: pa.Table, asked: pa.Table) -> pa.Table:
+        return _near_in_blocks(blocks, asked, within)
+
+    both = copies.groupBy("block", "part").cogroup(dealt.groupBy("block", "part"))
+    return both.applyInArrow(near, schema)
+
+
+def _near_in_blocks(blocks: pa.Table, asked: pa.Table, within: int) -> pa.Table:
+    ids, names, firsts, lasts = [], [], [], []
+    for row in blocks.to_pylist():
+        opened = open_index(row["first"], row["vocabulary"], row["counts"], row["places"])
+        for name, words in zip(asked["item"], asked["words"], strict=True):
+            codes = words.values.to_numpy().view(np.uint64)
+            for r, low, high in opened.proximity(codes, within):
+                ids.append(row["ids"][r])
+                names.append(name.as_py())
+                firsts.append(low)
+                lasts.append(high)
+    return pa.table({
+        "doc_id": pa.array(ids, pa.int64()), "item": pa.array(names, pa.string()),
+        "first": pa.array(firsts, pa.int64()), "last": pa.array(lasts, pa.int64()),
+    })
+
+
 _ITEMS = "array<array<string>>"
 
 

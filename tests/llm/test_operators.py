@@ -169,6 +169,24 @@ def test_proximity():
     assert index.phrase(begin, count).tolist() == [4]
 
 
+@pytest.mark.parametrize("most", [1, 1_000_000])
+def test_near_search_equals_brute_force(spark, edge, empty, odd, rows, monkeypatch, most):
+    monkeypatch.setattr(decontam, "ASKED_WORDS", most)
+    texts = [*ITEMS, (90, "short nine"), (90, "NINE five"), (91, None), (92, "..."),
+             (None, "five six"), (93, "word"), (93, "word"), (94, "nowhere five"), (95, "six FIVE")]
+    items = spark.createDataFrame(texts, "item_id long, text string").withColumn("doc_id", F.lit(1))
+    index = decontam.stage(decontam.build_index(edge), "test-postings")
+    for within in (2, 12):
+        got = tuples(decontam.search_near(index, items, within), "doc_id", "item", "first", "last")
+        want = ordered(brute.near([r[:2] for r in rows], texts, within))
+        assert got == want and {r[1] for r in got} >= {None, "93", "95"}
+    assert decontam.search_near(index, items.filter("false"), 9).count() == 0
+    assert decontam.search_near(decontam.build_index(empty), items, 9).count() == 0
+    twice = decontam.build_index(edge.unionByName(edge))
+    assert decontam.search_near(twice, items, 12).count() == 2 * len(want)
+    assert decontam.search_near(decontam.build_index(odd), items, 12).count() >= len(want)
+
+
 # 3
 
 
