@@ -273,7 +273,13 @@ def _by_window(pieces: DataFrame, window: int) -> DataFrame:
 
 
 def repeated_windows(docs: DataFrame, window: int = WINDOW, text: str = "text") -> DataFrame:
-    """`k1`, `k2` of the rows with repeated windows, and `hits`: (first word, mask of windows)."""
+    """`k1`, `k2` of the rows with repeated windows, and `hits`: (first word, mask of windows).
+
+    A window has at least as many words as an anchor, and at most 62 more, as the windows of a piece
+    are the bits of a long; others are refused.
+    """
+    if not GRAM <= window <= GRAM + 62:
+        raise ValueError(f"a window has {GRAM} to {GRAM + 62} words, got {window}")
     spark = docs.sparkSession
     small_batches(spark)
     counts = _anchors(docs, text, window, False).groupBy("anchor").agg(F.count("*").alias("n"))
