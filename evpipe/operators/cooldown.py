@@ -13,6 +13,10 @@ expression. For the others the rising hits are cut into blocks of time:
 
 Only hits within one cool-down of the block start (and the next one) can be an entry, so every
 level passes on a fraction of its rows, and no task ever sees an entity's full history.
+
+A block spans two cool-downs at least, so its rows grow with the cool-down. Where that passes the
+bound of a group, each hit gets a pointer to the one that would be kept after it, and pointers are
+doubled round by round (`keep_by_pointers`): joins by time only, and no groups at all.
 """
 
 from __future__ import annotations
@@ -24,11 +28,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from evpipe.operators.prefix import running_max
+from evpipe.plans.staging import stage
 
-# Blocks of the first level span BLOCK_COOLDOWNS cool-downs, each further level as many blocks.
-# Rising hits differ in their millisecond, so a block of 16 times 10 minutes holds at most
-# 9.6 million, however many hits the entity has.
+# Blocks of the first level span up to BLOCK_COOLDOWNS cool-downs, each further level as many blocks.
+# Rising hits differ in their millisecond, so a block of GROUP_MS holds at most as many, however many
+# hits the entity has; blocks of further levels hold one cool-down of hits of each block below.
 BLOCK_COOLDOWNS = 16
+GROUP_MS = 4_800_000
 
 
 def check_cooldown(cooldown_ms: int) -> None:
@@ -138,6 +144,7 @@ def keep_by_blocks(
     """Same result as the fold for entities of any size, in a few rounds of bounded groups.
 
     `span_ms` bounds the distance between the first and last hit; it sets the number of levels.
+    Cool-downs of which not even two fit into a block of GROUP_MS go by pointers.
     """
     check_cooldown(cooldown_ms)
     hits = hits.select(key, "arrival_seq", "event_ms")
@@ -149,6 +156,9 @@ def keep_by_blocks(
             F.col("_before").isNull() | (F.col("event_ms") >= F.col("_before"))
         ).drop("_before")
     rising = before.filter(F.col("_before").isNull() | (F.col("event_ms") > F.col("_before")))
+    block_cooldowns = min(block_cooldowns, GROUP_MS // cooldown_ms)
+    if block_cooldowns < 2:
+        return keep_by_pointers(rising.drop("_before"), key, cooldown_ms, chunk)
     levels = [rising.select(key, "event_ms", F.col("event_ms").alias("exit_ms"))]
     widths = []
     width = cooldown_ms * block_cooldowns
@@ -166,6 +176,47 @@ def keep_by_blocks(
     return rising.join(entered, [key, "event_ms"], "left_semi").drop("_before")
 
 
+def _next_kept(times: DataFrame, key: str, cooldown_ms: int, chunk: int) -> DataFrame:
+    """`to`: of each hit, the first one of the entity at least the cool-down later; only hits that
+    have one. A running minimum from the last hit to the first, over hits and asked times."""
+    top = times.agg(F.max("event_ms")).first()[0] or 0
+    none = F.lit(None).cast("bigint")
+    hits = times.select(key, F.col("event_ms").alias("at"), none.alias("asked"))
+    asked = times.select(key, (F.col("event_ms") + cooldown_ms).alias("at"), F.col("event_ms").alias("asked"))
+    # A hit comes before the question for its own time, as it lies late enough.
+    place = (F.lit(top + cooldown_ms).cast("bigint") - F.col("at")) * 2
+    marks = hits.unionByName(asked).select(
+        key, "asked", (place + F.col("asked").isNotNull().cast("int")).alias("place"),
+        F.when(F.col("asked").isNull(), -F.col("at")).alias("minus"),
+    )
+    found = running_max(marks, "place", "minus", "least", keys=[key], chunk=chunk)
+    return found.filter("asked is not null and least is not null").select(
+        key, F.col("asked").alias("event_ms"), (-F.col("least")).alias("to")
+    )
+
+
+def keep_by_pointers(rising: DataFrame, key: str, cooldown_ms: int, chunk: int) -> DataFrame:
+    """The kept ones of hits (`arrival_seq`, `event_ms`) of which each is later than all before.
+
+    From the first hit of an entity on, the kept hits are where its pointers lead. Round by round the
+    pointers span twice as many kept hits, and twice as many of those are known; pointers that lead
+    past the last hit are dropped. So there are as many rounds as the logarithm of the kept hits of
+    an entity, and a join meets one entity at one time, never its history.
+    """
+    times = stage(rising.select(key, "event_ms"), "hit-times")
+    known = times.groupBy(key).agg(F.min("event_ms").alias("event_ms"))
+    pointers = stage(_next_kept(times, key, cooldown_ms, chunk), "pointers")
+    while not pointers.isEmpty():
+        further = known.join(pointers, [key, "event_ms"]).select(key, F.col("to").alias("event_ms"))
+        known = stage(known.unionByName(further), "kept-times")
+        ahead = pointers.select(key, F.col("event_ms").alias("to"), F.col("to").alias("_beyond"))
+        pointers = stage(
+            pointers.join(ahead, [key, "to"]).select(key, "event_ms", F.col("_beyond").alias("to")),
+            "pointers",
+        )
+    return rising.join(known, [key, "event_ms"], "left_semi").select(rising.columns)
+
+
 def _enter_widest(top: DataFrame, key: str, cooldown_ms: int) -> DataFrame:
     first = F.min("event_ms").over(Window.partitionBy(key))
     marked = top.withColumn("_first", first)

@@ -4,6 +4,7 @@ import pytest
 from model import alert_model, cooldown_model, route_model
 from pyspark.sql import functions as F
 
+from evpipe.operators import cooldown as cooldown_module
 from evpipe.operators import skew
 from evpipe.operators.alerts import alerts_with_cooldown, patient_state
 from evpipe.operators.cooldown import keep_by_blocks, keep_by_fold
@@ -104,6 +105,23 @@ def test_cooldown_blocks_equal_fold(spark, start):
     assert len(blocks) == len(want) > 300
 
 
+@pytest.mark.parametrize("cooldown", [1, 300, 1000, 10**9])
+def test_cooldown_pointers_equal_record_by_record(spark, monkeypatch, cooldown):
+    """No block may be wider than a millisecond, so that pointers serve all cool-downs."""
+    monkeypatch.setattr(cooldown_module, "GROUP_MS", 1)
+    monkeypatch.setattr(cooldown_module, "reduce_blocks", None)
+    rnd = random.Random(6)
+    hits, clock = [], -40_000
+    for i in range(400):
+        clock += rnd.choice([0, 1, 40, 300, 300, 700, 5000])
+        hits.append((rnd.choice("aaab"), i * 7, clock - rnd.choice([0, 0, 0, 900, 4000])))
+    df = hits_frame(spark, hits)
+    kept = keep_by_blocks(df, "patient_id", cooldown, 10**6, chunk=500).collect()
+    assert {(r["patient_id"], r["arrival_seq"]) for r in kept} == cooldown_model(hits, cooldown)
+    assert len(kept) == len(cooldown_model(hits, cooldown))
+    assert keep_by_blocks(df.filter("false"), "patient_id", cooldown, 0).isEmpty()
+
+
 @pytest.mark.parametrize("cooldown", [0, 1, 600_000, 86_400_000])
 def test_blocks_equal_the_fold_for_any_cooldown(spark, cooldown):
     rnd = random.Random(cooldown)
