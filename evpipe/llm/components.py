@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from evpipe.llm.util import stage
+from evpipe.plans.staging import new_path, remove_path
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -14,13 +15,18 @@ def components(edges: DataFrame) -> DataFrame:
     Every round points nodes to the smallest node they know of, first the larger neighbours of each
     node, then the smaller ones. Minima are aggregated before their shuffle, so a node with very
     many neighbours is no hot group; the joins that carry them are left to skew handling. Rounds
-    are logarithmic in the size of a component. Each is written to the shared folder. The last round
-    changes nothing, told by the number of edges and two sums of their 64-bit hashes.
+    are logarithmic in the size of a component. Each is written to the shared folder, from where the
+    round before is then removed. The last round changes nothing, told by the number of edges and
+    two sums of their 64-bit hashes.
     """
-    edges = stage(edges.filter("a <> b").select("a", "b"), "edges")
+    spark = edges.sparkSession
+    path = new_path(spark, "edges")
+    edges = stage(edges.filter("a <> b").select("a", "b"), "edges", path)
     before = None
     while True:
-        edges = stage(_small_star(_large_star(edges)), "stars")
+        read, path = path, new_path(spark, "stars")
+        edges = stage(_small_star(_large_star(edges)), "stars", path)
+        remove_path(spark, read)
         state = edges.agg(
             F.count("*").alias("n"),
             F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s"),

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from evpipe.llm.util import add_columns, stage
 from evpipe.llm.words import white_space_words, word_blocks
+from evpipe.operators.prefix import dense_positions
 
 MOST_COPIES = 3
 GROUP = 2048
@@ -45,20 +46,6 @@ def with_sizes(docs: DataFrame, text: str = "text", out: str = "size") -> DataFr
     return add_columns(docs, text, [(out, "long")], make)
 
 
-def targets(sizes: list[int], weights: list[float], cap: float = MOST_COPIES) -> list[float]:
-    """Words due to each source: 100 % of all by weight, none above `cap` times its size."""
-    total = float(sum(sizes))
-    held: dict[int, float] = {}
-    while True:
-        free = [i for i in range(len(sizes)) if i not in held]
-        left, weight = total - sum(held.values()), sum(weights[i] for i in free)
-        due = {i: left * weights[i] / weight for i in free} if weight else {}
-        over = [i for i in free if due[i] > cap * sizes[i]]
-        if not over:
-            return [held.get(i, due.get(i, 0.0)) for i in range(len(sizes))]
-        held.update({i: float(cap * sizes[i]) for i in over})
-
-
 def pivot(p: np.ndarray, draws: np.ndarray) -> tuple[np.ndarray, int]:
     """Round probabilities one against the next. Returns them with at most one fractional entry
     left, and the place of that (-1 if there is none)."""
@@ -125,34 +112,65 @@ def _round_groups(units: DataFrame, level: int) -> DataFrame:
     return dealt.groupBy("source", "band", "place").applyInPandas(run, schema)
 
 
-def source_targets(sizes: DataFrame, weights: dict | None = None) -> DataFrame:
-    """`source`, `source_size`, `target` from `source`, `size`. Without `weights` the sources, by
-    code point with null last, weigh 1, 2, 3 in turn."""
-    spark = sizes.sparkSession
-    totals = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
-    # One row a source, as every weighting names its sources.
-    rows = sorted(
-        totals.collect(), key=lambda r: (r["source"] is None, (r["source"] or "").encode())
-    )
+def source_weights(totals: DataFrame, weights: dict | None) -> DataFrame:
+    """`totals` with the `weight` of each source. Without `weights` the sources, by code point with
+    null last, weigh 1, 2, 3 in turn; sources that `weights` does not name weigh nothing."""
     if weights is None:
-        given = [WEIGHTS[i % len(WEIGHTS)] for i in range(len(rows))]
-    else:
-        given = [float(weights.get(r["source"], 0.0)) for r in rows]
-    due = targets([r["source_size"] for r in rows], given)
-    return spark.createDataFrame(
-        [(r["source"], r["source_size"], t) for r, t in zip(rows, due, strict=True)],
-        "source string, source_size long, target double",
+        ordered = totals.orderBy(F.col("source").isNull(), "source")
+        numbered = stage(ordered.withColumn("seq", F.monotonically_increasing_id()), "sources")
+        placed = dense_positions(numbered, "seq", "place").drop("seq")
+        turns = F.array(*(F.lit(w) for w in WEIGHTS))
+        turn = F.pmod(F.col("place"), F.lit(len(WEIGHTS))).cast("int") + 1
+        return placed.withColumn("weight", F.element_at(turns, turn)).drop("place")
+    given = totals.sparkSession.createDataFrame(
+        [(s, float(w)) for s, w in weights.items()], "s string, w double"
     )
+    met = totals.join(given, F.col("source").eqNullSafe(F.col("s")), "left")
+    return met.withColumn("weight", F.coalesce("w", F.lit(0.0))).drop("s", "w")
+
+
+def source_targets(sizes: DataFrame, weights: dict | None = None, cap: int = MOST_COPIES) -> DataFrame:
+    """`source`, `source_size`, `target` from `source`, `size`: 100 % of all by weight, none above
+    `cap` times its size.
+
+    Each round is one sum over the sources: those above their cap are held at it, and the rest is
+    shared again by the weights of the others. A share only grows from round to round, so who is
+    held follows from the last shares alone, and the rounds end when no source is added. A round
+    carries one row; the sources stay a table, however many there are. Sums are decimals, so they
+    don't depend on the order of the rows.
+    """
+    totals = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
+    table = stage(source_weights(totals, weights), "weighted-sources")
+    limit = F.col("source_size") * F.lit(cap)
+    left, weight, over, before = None, None, F.lit(False), -1
+    while True:
+        state = table.agg(
+            F.sum("source_size").alias("total"),
+            F.coalesce(F.sum(F.when(over, limit)), F.lit(0)).alias("held"),
+            F.sum(F.when(~over, F.col("weight").cast("decimal(30,12)"))).alias("weight"),
+            F.count_if(over).alias("n"),
+        ).first()
+        if state["n"] == before:
+            break
+        before = state["n"]
+        left, weight = float((state["total"] or 0) - state["held"]), float(state["weight"] or 0)
+        due = F.lit(left) * F.col("weight") / F.lit(weight) if weight else F.lit(0.0)
+        over = due > limit
+    target = F.when(over, limit.cast("double")).otherwise(due)
+    return table.select("source", "source_size", target.alias("target"))
 
 
 def copies(sizes: DataFrame, weights: dict | None = None) -> DataFrame:
-    """For rows of `id`, `source`, `size`: the same with `source_size`, `target` and `copies`, one
-    row for equal ones with their number `n`."""
+    """For rows of `id`, `source`, `size`: one row for equal ones with their number `n` and the
+    `copies` of each."""
     staged = stage(sizes.select("id", "source", "size"), "sizes")
-    due = source_targets(staged, weights)
-    units = staged.groupBy("id", "source", "size").agg(F.count("*").alias("n"))
+    return _rounded(staged, stage(source_targets(staged, weights), "targets"))
+
+
+def _rounded(sizes: DataFrame, due: DataFrame) -> DataFrame:
+    units = sizes.groupBy("id", "source", "size").agg(F.count("*").alias("n"))
     share = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    due = F.broadcast(due.select(F.col("source").alias("s"), share.alias("share")))  # one row a source
+    due = due.select(F.col("source").alias("s"), share.alias("share"))
     units = units.join(due, F.col("source").eqNullSafe(F.col("s"))).drop("s")
     whole = F.floor(F.col("share") + 1e-9)
     units = units.select(
@@ -180,10 +198,10 @@ def mix_digest(docs: DataFrame, weights: dict | None = None) -> DataFrame:
     sized = with_sizes(docs.select("doc_id", "source", "text")).select(
         F.col("doc_id").cast("long").alias("id"), "source", "size"
     )
-    rounded = stage(copies(sized, weights), "copies")
-    # The targets again, from the settled units: a few rows.
-    sums = rounded.select("source", (F.col("size") * F.col("n")).alias("size"))
-    due = F.broadcast(source_targets(sums, weights).withColumnRenamed("source", "s"))
+    sized = stage(sized, "sizes")
+    due = stage(source_targets(sized, weights), "targets")
+    rounded = stage(_rounded(sized, due), "copies")
+    due = due.withColumnRenamed("source", "s")
     rows = rounded.join(due, F.col("source").eqNullSafe(F.col("s"))).drop("s")
     repeated = rows.withColumn("again", F.explode(F.sequence(F.lit(1), F.col("n"))))
     return repeated.select(

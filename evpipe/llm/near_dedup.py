@@ -14,7 +14,7 @@ large together, one pair of blocks of it, and passes on only a spanning forest o
 The components of those forests are the result.
 
 Defined results: a null or word-free text has an empty set, is its own component and is kept; rows
-of equal id and set share the class; a row without an id gets no component, takes no part and is
+of equal id and set share the class; classes with the same smallest id count as one; a row without an id gets no component, takes no part and is
 kept. An empty table gives an empty one.
 """
 
@@ -178,7 +178,8 @@ def _compare_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     def found(rows: list) -> pa.RecordBatch | None:
         if len(rows) < 2:
             return None
-        sets: dict[int, np.ndarray] = {}
+        # A class is told by its id and set: another class, or a row that is of neither, may have the id.
+        sets: dict[tuple[int, int], np.ndarray] = {}
         places = []
         texts = pa.array([r[2] for r in rows], pa.string())
         for block in word_blocks(texts, white_space_words(), lower_ascii()):
@@ -186,15 +187,14 @@ def _compare_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             prints = fingerprints(flat, bounds)[0].view(np.int64)
             for r in range(len(prints)):
                 rep, place, _, _, print_ = rows[block.rows.start + r]
-                # Another row may have the id, but not the text, of the class.
-                if rep not in sets and prints[r] == print_:
-                    sets[rep] = flat[bounds[r] : bounds[r + 1]]
+                if (rep, print_) not in sets and prints[r] == print_:
+                    sets[rep, print_] = flat[bounds[r] : bounds[r + 1]]
                     places.append(place)
         if len(sets) < 2:
             return None
-        ids, blocks = np.array(list(sets), dtype=np.int64), np.array(places)
+        ids, blocks = np.array([rep for rep, _ in sets], dtype=np.int64), np.array(places)
         root = linked(list(sets.values()), blocks, rows[0][3])
-        moved = np.flatnonzero(root != np.arange(len(ids)))
+        moved = np.flatnonzero(ids[root] != ids)
         if not len(moved):
             return None
         return pa.RecordBatch.from_arrays([pa.array(ids[moved]), pa.array(ids[root[moved]])], ["a", "b"])

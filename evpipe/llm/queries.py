@@ -54,11 +54,11 @@ def toxic(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+def license_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.best_licenses(read(spark, sf_dir, "documents"), licenses.template_frame(spark))
 
 
-def license_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
+def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.best_notices(read(spark, sf_dir, "documents"), licenses.notice_frame(spark))
 
 
@@ -108,7 +108,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_output": tokens,
     "op4_toxicity": toxic,
     "op5_license_scan": license_scan,
-    "license_notices": license_notices,
+    "license_lines": license_lines,
     "op6_near_dedup": near,
     "op7_mixing": mix,
     "op8_line_dedup": lines,
@@ -124,7 +124,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 # against held-out rows and plain versions.
 ORACLES: dict[str, str] = {
     "op2_decontamination": sql.DECONTAMINATION,
-    "op5_license_scan": sql.LICENSES,
+    "license_lines": sql.LICENSES,
     "op6_near_dedup": sql.NEAR,
     "op8_line_dedup": sql.LINES,
     "op9_top_k": sql.NEAREST,

@@ -5,7 +5,7 @@ size; a block sorts its vectors once in every dimension. A query walks all lists
 each from the end at which its own component multiplies to the most, scores vectors in full as they
 come up, and stops as soon as the sum of the products at the walk's front, the most that any vector
 not met yet can score, is below the k-th best score. A block passes on its k best rows for each
-query, and the k best of those are the answer. Queries travel in portions of bounded size.
+query, and the k best of those are the answer. Queries travel in portions of bounded size, one pass over the blocks for each.
 
 Defined results: vectors that are null or hold null or non-finite components take no part, nor do
 empty ones; a query is compared with vectors of its own length only; ties go to the smaller id;
@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from evpipe.plans.staging import new_path
+
 SCALE = 256
 BLOCK_NUMBERS = 1 << 22
 PORTION_NUMBERS = 1 << 20
@@ -99,7 +101,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int, key: str = "vec_id",
     spark = vectors.sparkSession
     candidates = whole_vectors(vectors, key, column)
     asked = whole_vectors(queries, key, column).dropDuplicates(["id"])
-    best = None
+    schema = "query_id long, vec_id long, score long"
+    path, portions = new_path(spark, "best-of-blocks"), 0
     for ids, rows in _portions(asked):
         shared = spark.sparkContext.broadcast((ids, rows))
 
@@ -118,10 +121,11 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int, key: str = "vec_id",
                         ["query_id", "vec_id", "score"],
                     )
 
-        part = candidates.mapInArrow(run, "query_id long, vec_id long, score long")
-        best = part if best is None else best.unionByName(part)
-    if best is None:
-        best = spark.createDataFrame([], "query_id long, vec_id long, score long")
+        # Written portion by portion, so neither the plan nor what is broadcast grows with their number.
+        candidates.mapInArrow(run, schema).write.mode("append").parquet(path)
+        shared.destroy()
+        portions += 1
+    best = spark.read.schema(schema).parquet(path) if portions else spark.createDataFrame([], schema)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = best.withColumn("rank", F.row_number().over(order).cast("int"))
     return ranked.filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

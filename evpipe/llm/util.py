@@ -29,14 +29,14 @@ def setting(spark: SparkSession, name: str, value: str):
             spark.conf.set(name, before)
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write `df` to the cluster's shared folder and return the written table.
+def stage(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
+    """Write `df` to the cluster's shared folder, or to `path`, and return the written table.
 
     Lineage ends there, so a lost executor repeats nothing before it. The shuffle files behind it
     are of no further use and are dropped with the write.
     """
     spark = df.sparkSession
-    path = new_path(spark, label)
+    path = path or new_path(spark, label)
     with setting(spark, _CLEANUP, "true"):
         df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -1,8 +1,10 @@
+import itertools
 import os
 import zlib
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,6 +22,8 @@ from evpipe.llm import (
     toxicity,
 )
 from evpipe.llm.components import components
+from evpipe.llm.words import lower_ascii, white_space_words, word_blocks
+from evpipe.plans.staging import folder_names, staging_root
 
 SCHEMA = T.StructType(
     [
@@ -178,7 +182,7 @@ def test_near_search_equals_brute_force(spark, edge, empty, odd, rows, monkeypat
     index = decontam.stage(decontam.build_index(edge), "test-postings")
     for within in (2, 12):
         got = tuples(decontam.search_near(index, items, within), "doc_id", "item", "first", "last")
-        want = ordered(brute.near([r[:2] for r in rows], texts, within))
+        want = ordered(brute.proximity([r[:2] for r in rows], texts, within))
         assert got == want and {r[1] for r in got} >= {None, "93", "95"}
     assert decontam.search_near(index, items.filter("false"), 9).count() == 0
     assert decontam.search_near(decontam.build_index(empty), items, 9).count() == 0
@@ -467,6 +471,24 @@ def test_one_group_of_many_variants(spark):
     assert got == ordered(brute.near(rows))
 
 
+def test_ids_with_several_texts_lose_no_link(spark):
+    """Whichever text of an id comes first, each is compared."""
+    a, b = ([f"{c}{i}" for i in range(60)] for c in "ab")
+    texts = [a, b, [*b[:-1], "x"], [*a[:-1], "y"], [*b[:-1], "z"]]
+    rows = [(i, " ".join(t)) for i, t in zip((1, 1, 2, 3, 4), texts, strict=True)]
+    for order in itertools.permutations(rows[:3]):
+        parts = []
+        for rep, text in order:
+            block = next(word_blocks(pa.array([text]), white_space_words(), lower_ascii()))
+            print_ = int(near_dedup.fingerprints(*near_dedup.shingle_sets(block))[0].view(np.int64)[0])
+            parts.append({"g": 1, "u": 0, "w": 0, "rep": rep, "block": 0, "x": text, "f1": print_})
+        found = near_dedup._compare_units(iter([pa.RecordBatch.from_pylist(parts)]))
+        assert [sorted(p.values()) for f in found for p in f.to_pylist()] == [[1, 2]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = near_dedup.near_duplicates(docs).collect()
+    assert len(got) == 5 and {r["component_id"] for r in got} == {1}
+
+
 def test_units_of_many_short_variants_are_bounded(spark, monkeypatch):
     """One notice whose last word differs: few shingles, many sets, all linked (14 of 16)."""
     notice = " ".join(f"n{i}" for i in range(18))
@@ -499,20 +521,20 @@ def test_components(spark):
     for _ in range(len(root)):
         for a, b in edges:
             root[a] = root[b] = min(root[a], root[b])
+    before = set(folder_names(spark, staging_root(spark)))
     got = {
         r["node"]: r["root"]
         for r in components(spark.createDataFrame(edges, "a long, b long")).collect()
     }
     assert got == {k: v for k, v in root.items() if k != v}
+    # Only the last round is left.
+    assert len(set(folder_names(spark, staging_root(spark))) - before) == 1
 
 
 # 7
 
 
 def test_mixing(spark, edge, rows, empty, odd, sf_dir):
-    assert mixing.targets([10, 10, 10], [1, 2, 3]) == [5.0, 10.0, 15.0]
-    assert mixing.targets([1, 100], [9, 1]) == [3.0, 98.0]
-    assert mixing.targets([0, 0], [1, 2]) == [0.0, 0.0]
     got = mixing.mix_digest(edge).collect()
     sizes = {r[0]: len(brute.SPACE.findall(r[1] or "")) for r in rows}
     assert {r["doc_id"]: r["size"] for r in got} == sizes
@@ -539,6 +561,27 @@ def test_mixing(spark, edge, rows, empty, odd, sf_dir):
         assert abs(r["taken"] - r["target"]) <= 2 * r["largest"]
 
 
+def test_targets_equal_brute_force(spark):
+    def due(sizes, weights=None):
+        frame = spark.createDataFrame(sizes, "source string, size long").repartition(3)
+        return {r["source"]: r["target"] for r in mixing.source_targets(frame, weights).collect()}
+
+    assert due([("a", 4), ("b", 10), (None, 10), ("a", 6)]) == {"a": 5.0, "b": 10.0, None: 15.0}
+    assert due([("a", 1), (None, 100)], {"a": 9, None: 1}) == {"a": 3.0, None: 98.0}
+    assert due([("a", 0), ("b", 0)]) == {"a": 0.0, "b": 0.0}
+    assert due([("a", 5), ("b", 7)], {"c": 1.0}) == {"a": 0.0, "b": 0.0} and due([]) == {}
+    rng = np.random.default_rng(6)
+    names = sorted((f"s{i}" if i % 2 else f"\u00fc{i}" for i in range(500)), key=str.encode)
+    for spread in (0.5, 2.0, 4.0):
+        sizes = np.floor(np.exp(rng.normal(0, spread, 501)) * 10).astype(int).tolist()
+        rows = list(zip([*names, None], sizes, strict=True))
+        turns = brute.targets(sizes, [mixing.WEIGHTS[i % 3] for i in range(501)])
+        assert due(rows) == dict(zip([*names, None], turns, strict=True))
+        given = rng.integers(0, 9, 501).tolist()
+        own = dict(zip([*names, None], given, strict=True))
+        assert due(rows, own) == dict(zip(own, brute.targets(sizes, given), strict=True))
+
+
 def test_levels_of_the_reduction_tree(spark, monkeypatch):
     monkeypatch.setattr(mixing, "GROUP", 8)
     rows = [(i, "a" if i % 3 else "b", 10) for i in range(900)]
