@@ -139,8 +139,8 @@ def document_frequencies(texts: DataFrame) -> np.ndarray:
 
     counts = texts.mapInArrow(run, "b long, n long").groupBy("b").agg(F.sum("n").alias("n"))
     out = np.zeros(BUCKETS + 1, dtype=np.int64)
-    for row in counts.collect():  # one row a bucket at most
-        out[row["b"]] = row["n"]
+    found = counts.toArrow()  # one row a bucket at most
+    out[found["b"].to_numpy()] = found["n"].to_numpy()
     return out
 
 
@@ -182,8 +182,8 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "d
     drawn = sample.mapInArrow(run, "draw long, lang string, w binary, v binary").collect()
     drawn.sort(key=lambda r: (r["draw"], r["lang"], bytes(r["w"])))
     examples = [
-        (np.frombuffer(r["w"], np.uint16).astype(np.int64),
-         np.frombuffer(r["v"], np.float32).astype(np.float64), numbers[r["lang"]])
+        # Views of what was fetched; the arithmetic on them is in 64 bits.
+        (np.frombuffer(r["w"], np.uint16), np.frombuffer(r["v"], np.float32), numbers[r["lang"]])
         for r in drawn
     ]
     held = [e for i, e in enumerate(examples) if i % 5 == 4]
