@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -49,6 +50,8 @@ ALERT_SCHEMA = T.StructType(
         *[T.StructField(name, T.DoubleType()) for name in RULE_SIGNALS],
     ]
 )
+# Buckets of record keys in the routing state: one call of Python decides a bucket per batch.
+STATE_BUCKETS = 1024
 _ALERT_STATE = T.StructType(
     [
         *[T.StructField(name, T.DoubleType()) for name in RULE_SIGNALS],
@@ -72,15 +75,18 @@ def _arrivals(batches: Iterator[pd.DataFrame], columns: list[str]) -> list[tuple
 def stream_route(raw: DataFrame, lateness_sec: int = DEFAULT_LATENESS_SEC) -> DataFrame:
     """Route a raw stream by the stream profile; nothing is dropped, late records included.
 
-    Per record key the state says whether a record was accepted. It is kept forever, as the
-    contract has it; the state store (RocksDB on a cluster) holds one flag per accepted id.
-    Lateness compares with Spark's watermark, which moves between micro-batches. The Python side
-    sees only what decides; the record itself travels in one packed column.
+    The state says which record keys were accepted. It is kept forever, as the contract has it;
+    the state store (RocksDB on a cluster) holds one entry per accepted id, under a fixed bucket of
+    its key: a call of Python per key costs milliseconds, so each call decides a whole bucket of a
+    micro-batch at once. Lateness compares with Spark's watermark, which moves between
+    micro-batches. The Python side sees only what decides; the record itself travels in one packed
+    column.
     """
     events = with_event_time(validate(parse_events(raw, "stream"), "stream"), lateness_sec)
     record = events.select(*ROUTED_COLUMNS, "event_ts")
     packed_schema = T.StructType([record.schema[c] for c in ROUTED_COLUMNS])
     narrow = record.select(
+        F.pmod(F.xxhash64("record_key"), F.lit(STATE_BUCKETS)).alias("bucket"),
         "record_key",
         "arrival_seq",
         "event_ms",
@@ -89,34 +95,35 @@ def stream_route(raw: DataFrame, lateness_sec: int = DEFAULT_LATENESS_SEC) -> Da
         "event_ts",
     )
     allowed = lateness_sec * 1000
-    columns = ["arrival_seq", "event_ms", "valid", "packed"]
 
     def step(
         key: tuple, batches: Iterator[pd.DataFrame], state: GroupState
     ) -> Iterator[pd.DataFrame]:
-        if state.exists:
-            # Accepted in an earlier batch: all records are duplicates, in whatever order.
-            for pdf in batches:
-                yield pd.DataFrame({"packed": pdf["packed"].tolist(), "extra": DUPLICATE})
-            return
-        # The order of arrival decides, so this key's records of one micro-batch come together;
-        # the trigger limits how many that can be.
+        # The order of arrival decides, so a key's records of one micro-batch come together in its
+        # bucket; the trigger limits how many that can be.
+        rows = pd.concat(list(batches), ignore_index=True)
+        rows = rows.sort_values("arrival_seq", kind="stable", ignore_index=True)
+        seen = set(state.get[0]) if state.exists else set()
         watermark = state.getCurrentWatermarkMs()
-        accepted, packed, extra = False, [], []
-        for _, event_ms, valid, text in _arrivals(batches, columns):
-            # The contract's watermark is a millisecond behind Spark's.
-            late = valid and watermark > 0 and event_ms + allowed < watermark - 1
-            packed.append(text)
-            extra.append(DUPLICATE if accepted else LATE if late else None)
-            accepted = accepted or (valid and not late)
-        if accepted:
-            state.update((True,))
-        yield pd.DataFrame({"packed": packed, "extra": pd.Series(extra, dtype=object)})
-
-    decided = narrow.groupBy("record_key").applyInPandasWithState(
+        keys = rows["record_key"]
+        valid = rows["valid"].eq(True).to_numpy()
+        # The contract's watermark is a millisecond behind Spark's.
+        late = valid & (watermark > 0) & (rows["event_ms"].to_numpy() + allowed < watermark - 1)
+        good = (valid & ~late).astype(np.int64)
+        # Accepted in an earlier batch, or earlier in this one: a duplicate, in whatever order.
+        before = np.array([k in seen for k in keys.tolist()], dtype=bool)
+        taken = pd.Series(good).groupby(keys, dropna=False, sort=False).cumsum().to_numpy() - good
+        duplicate = before | (taken > 0)
+        extra = np.where(duplicate, DUPLICATE, np.where(late, LATE, None))
+        new = set(keys[(good > 0) & ~before].tolist())
+        if new:
+            state.update((list(seen | new),))
+        yield pd.DataFrame({"packed": rows["packed"], "extra": pd.Series(extra, dtype=object)})
+
+    decided = narrow.groupBy("bucket").applyInPandasWithState(
         step,
         "packed string, extra string",
-        "accepted boolean",
+        "accepted array<string>",
         "append",
         GroupStateTimeout.NoTimeout,
     )

@@ -110,3 +110,36 @@ def test_local_profile_on_a_stream_is_exact(spark, sf_dir, tmp_path):
     streamed = by_seq(spark.read.parquet(f"{job.root}/local_routed"))
     checked = validate(parse_events(raw_events(spark, sf_dir), "local"), "local")
     assert streamed == by_seq(route(checked, "local", L))
+
+
+def test_stateful_routing_keeps_state_by_bucket(spark, tmp_path):
+    from evpipe.streaming.jobs import start_stateful_routing
+    from evpipe.streaming.stateful import STATE_BUCKETS
+
+    def record(number, hour, **changes):
+        event_id = f"00000000-0000-4000-8000-{number:012d}"
+        return event(event_id=event_id, event_time=f"2026-01-24T{hour}:00:00Z", **changes)
+
+    drops = [
+        [record(n, 10) for n in range(1, STATE_BUCKETS + 200)] + [record(1, 10)],
+        [record(2, 20)],
+        [record(5000, 11), record(5000, 20), record(5000, 20)],
+    ]
+    folder = str(tmp_path / "in")
+    start = 0
+    for texts in drops:
+        raw_frame(spark, texts).selectExpr(
+            f"arrival_seq + {start} as arrival_seq", "raw", "processed_ms"
+        ).coalesce(1).write.mode("append").parquet(folder)
+        start += len(texts)
+    job = StreamJob(str(tmp_path / "out"), str(tmp_path / "ck"), 300, COOL, {"availableNow": True})
+    query = start_stateful_routing(source(spark, folder), job)
+    query.awaitTermination()
+    reasons = [r["reason"] for r in spark.read.parquet(job.routed_path).orderBy("arrival_seq").collect()]
+    first = len(drops[0])
+    assert reasons[: first - 1] == ["accepted"] * (first - 1)
+    assert reasons[first - 1 :] == [
+        "duplicate_event_id", "duplicate_event_id", "late_event", "accepted", "duplicate_event_id",
+    ]
+    # A call of Python per key is far too slow: the state holds a row per bucket, not per key.
+    assert all(s["numRowsTotal"] <= STATE_BUCKETS for s in query.lastProgress["stateOperators"])
